@@ -129,3 +129,24 @@ class Lakehouse:
     @cached_property
     def trip_pollution(self) -> DataFrame:
         return reports.trip_pollution_monthly(self.taxi_cut, self.pollutant, self.options)
+
+    # materialisation ----------------------------------------------------------
+    def materialize(self, warehouse: str, fmt: str = "parquet") -> "Lakehouse":
+        """Write silver, then gold, and continue from the written tables.
+
+        Each layer is read back from storage before the next is built, so the
+        lineage is cut per layer: a lost executor costs a re-read of files, not
+        a recomputation from the landing data.
+        """
+        from ..sinks.writers import write_and_reload
+
+        def put(name: str, df: DataFrame) -> DataFrame:
+            return write_and_reload(df, f"{warehouse.rstrip('/')}/{name}", fmt)
+
+        for name in ("silver_trips", "silver_measurements", "silver_fx", "silver_gdp"):
+            self.__dict__[name] = put(name, getattr(self, name))
+        for name in ("fact_taxi", "fact_air", "dim_date", "dim_zone", "dim_fx", "dim_gdp"):
+            self.__dict__[name] = put(name, getattr(self, name))
+        for name in ("taxi_cut", "air_cut", "pollutant", "fx_monthly", "revenue_fx", "trip_pollution"):
+            self.__dict__.pop(name, None)
+        return self

@@ -607,3 +607,99 @@ q(
            (gdp_usd / lag(gdp_usd) OVER (ORDER BY year) - 1) * 100 AS gdp_growth
     FROM k ORDER BY year""",
 )
+
+# ------------------------------------------------------------- sources and sinks
+
+cte(
+    "loc",
+    [],
+    """
+    SELECT c_custkey AS id, CASE WHEN c_custkey % 50 <> 0 THEN c_name END AS name,
+           CASE WHEN c_custkey % 11 <> 0 THEN 'America/New_York' END AS timezone,
+           c_mktsegment = 'AUTOMOBILE' AS is_mobile,
+           CASE WHEN c_custkey % 97 <> 0 THEN CAST(4030 + c_custkey % 80 AS DOUBLE) / 100 END AS lat,
+           CAST(-7440 + (c_nationkey * 7) % 80 AS DOUBLE) / 100 AS lon,
+           CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS etype,
+           CASE WHEN c_custkey % 17 = 0 THEN 0 ELSE 5 END AS n_sensors
+    FROM customer""",
+)
+cte(
+    "box",
+    ["loc"],
+    """
+    SELECT * FROM loc
+    WHERE lat IS NOT NULL AND lat <> 0 AND lon IS NOT NULL AND lon <> 0
+      AND lat BETWEEN 40.4 AND 41.0 AND lon BETWEEN -74.3 AND -73.7""",
+)
+q(
+    "month_manifest",
+    ["trip_base_y", "trip_base_g"],
+    """
+    WITH months AS (SELECT strftime(m, '%Y-%m') AS month
+                    FROM generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2000-12-01', INTERVAL 1 MONTH) t(m)),
+    expected AS (SELECT p.prefix, months.month, p.prefix || months.month || '.parquet' AS file_name
+                 FROM months, (VALUES ('yellow_tripdata_'), ('green_tripdata_')) p(prefix)),
+    present AS (SELECT DISTINCT 'yellow_tripdata_' || strftime(pu_ts, '%Y-%m') || '.parquet' AS file_name FROM trip_base_y
+                UNION
+                SELECT DISTINCT 'green_tripdata_' || strftime(pu_ts, '%Y-%m') || '.parquet' FROM trip_base_g
+                WHERE l_orderkey % 997 <> 0)
+    SELECT e.prefix, e.month, e.file_name, (p.file_name IS NOT NULL) AS present
+    FROM expected e LEFT JOIN present p ON e.file_name = p.file_name""",
+)
+q(
+    "locations_in_box",
+    ["box"],
+    "SELECT id AS location_id, name AS location_name, lat AS latitude, lon AS longitude, n_sensors FROM box",
+)
+q(
+    "locations_flat",
+    ["box"],
+    """SELECT id AS location_id, coalesce(name, 'Unknown') AS location_name, lat AS latitude, lon AS longitude,
+           coalesce(timezone, 'UTC') AS timezone, coalesce(is_mobile, false) AS is_mobile,
+           coalesce(etype, 'Unknown') AS entity_type
+    FROM box""",
+)
+q(
+    "measurements_flat",
+    ["box"],
+    """
+    WITH o AS (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS pid,
+                      CASE WHEN o_orderkey % 101 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00Z' END AS utc
+               FROM orders)
+    SELECT substr(utc, 1, 10) AS date, utc AS datetime_utc, b.id AS location_id, coalesce(b.name, 'Unknown') AS location_name,
+           b.lat AS latitude, b.lon AS longitude, o.o_custkey * 10 + o.pid AS sensor_id, o.pid AS parameter_id,
+           list_extract(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'], CAST(o.pid AS INTEGER)) AS parameter_name,
+           CASE WHEN o.pid <= 2 THEN 'ug/m3' ELSE 'ppm' END AS parameter_units,
+           CASE WHEN o.o_orderstatus <> 'P' THEN CAST(floor(o.o_totalprice / 10000) AS DOUBLE) - 2 END AS value,
+           coalesce(b.timezone, 'UTC') AS timezone
+    FROM o JOIN box b ON o.o_custkey = b.id
+    WHERE b.n_sensors > 0""",
+)
+q(
+    "gdp_json",
+    ["silver_gdp"],
+    "SELECT country_code AS countryiso3code, CAST(year AS VARCHAR) AS date, gdp_usd AS value FROM silver_gdp",
+)
+q(
+    "zone_csv",
+    ["dim_zone"],
+    "SELECT zone_id AS LocationID, borough AS Borough, zone_name AS Zone, service_zone FROM dim_zone",
+)
+q(
+    "fx_csv",
+    ["silver_fx"],
+    """SELECT DISTINCT date, CASE WHEN fx_day <> 13 THEN usd_eur_rate END AS usd_eur_rate, currency_from, currency_to,
+           fx_year, fx_month, fx_day FROM silver_fx""",
+)
+q("files_drift", ["silver_trips"], "SELECT * FROM silver_trips")
+q(
+    "sink_roundtrip",
+    ["fact_taxi", "fact_air", "dim_date", "dim_zone", "dim_fx", "dim_gdp"],
+    """SELECT 'FactTaxiDaily' AS table_name, count(*) AS row_count FROM fact_taxi
+    UNION ALL SELECT 'FactAirQualityDaily', count(*) FROM fact_air
+    UNION ALL SELECT 'DimDate', count(*) FROM dim_date
+    UNION ALL SELECT 'DimZone', 2 * count(*) FROM dim_zone
+    UNION ALL SELECT 'DimFX', count(*) FROM dim_fx
+    UNION ALL SELECT 'DimGDP', count(*) FROM dim_gdp
+    UNION ALL SELECT 'GDP_mapped', count(*) FROM dim_gdp""",
+)

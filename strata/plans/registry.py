@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import GREEN, YELLOW
 from ..operators import dims
 from ..sources import bindings
-from . import questions, reports, silver
+from . import ingest, questions, reports, silver
 from .lakehouse import BINDING_FALLBACK, Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,4 +131,14 @@ QUERIES: dict[str, Query] = {
     "three_domain_trend": lambda s, r: (
         lambda lh: questions.three_domain_trend(lh.taxi_cut, lh.pollutant, lh.dim_gdp, lh.options)
     )(_lh(s, r)),
+    # sources and sinks
+    "month_manifest": ingest.month_manifest,
+    "locations_in_box": ingest.locations_in_box,
+    "locations_flat": ingest.locations_flat,
+    "measurements_flat": ingest.measurements_flat,
+    "gdp_json": ingest.gdp_json,
+    "zone_csv": ingest.zone_csv,
+    "fx_csv": ingest.fx_csv,
+    "files_drift": ingest.files_drift,
+    "sink_roundtrip": ingest.sink_roundtrip,
 }

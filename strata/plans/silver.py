@@ -22,6 +22,11 @@ def silver_trips(
     never dropped anything).
     """
     std = union_all([standardize(df, spec, case_sensitive) for df, spec in frames])
+    return clean_trips(std, rules, fills)
+
+
+def clean_trips(std: DataFrame, rules: TripRules = TripRules(), fills: dict[str, object] = TRIP_FILLS) -> DataFrame:
+    """R01 after standardisation: validate, fill, enrich, validate duration."""
     df = cleanse.apply_rules(std, cleanse.trip_rules(rules))
     df = cleanse.fill_defaults(df, fills)
     df = cleanse.add_calendar(df, "pickup_datetime", "pickup", with_hour=True)

@@ -191,3 +191,119 @@ def locations_bronze(spark: SparkSession, root: str) -> DataFrame:
         F.lit(False).alias("is_mobile"),
         F.when(lid != 3, F.lit("government")).otherwise(F.lit("Unknown")).alias("entity_type"),
     )
+
+
+# --------------------------------------------------------------------------
+# Landed payload text derived from the tables (what an API or export would have
+# delivered).  Each builder returns a single string column ``value`` (or
+# ``line`` for CSV) that the readers in ``payloads`` parse with their schemas.
+
+# Fixed values of the binding: the five order priorities double as sensor parameters.
+PRIORITY_NAMES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+LOCATION_PAGE_SIZE = 1000
+
+
+def location_pages_text(spark: SparkSession, root: str) -> DataFrame:
+    """Location pages: ``{"results": [location, ...]}`` with at most 1000 locations
+    per page (customers grouped by key range, so a page never grows with skew)."""
+    c = load(spark, root, "customer")
+    key = F.col("c_custkey")
+    names = F.array(*[F.lit(n) for n in PRIORITY_NAMES])
+    sensors = F.when(F.pmod(key, F.lit(17)) == 0, F.array().cast("array<struct<id:bigint,parameter:struct<id:bigint,name:string,units:string>>>")).otherwise(
+        F.transform(
+            F.sequence(F.lit(1), F.lit(5)),
+            lambda k: F.struct(
+                (key * 10 + k).cast("long").alias("id"),
+                F.struct(
+                    k.cast("long").alias("id"),
+                    F.element_at(names, k).alias("name"),
+                    F.when(k <= 2, F.lit("ug/m3")).otherwise(F.lit("ppm")).alias("units"),
+                ).alias("parameter"),
+            ),
+        )
+    )
+    loc = F.struct(
+        key.alias("id"),
+        F.when(F.pmod(key, F.lit(50)) != 0, F.col("c_name")).alias("name"),
+        F.when(F.pmod(key, F.lit(11)) != 0, F.lit("America/New_York")).alias("timezone"),
+        (F.col("c_mktsegment") == "AUTOMOBILE").alias("isMobile"),
+        F.struct(
+            F.when(F.pmod(key, F.lit(97)) != 0, (F.lit(4030) + F.pmod(key, F.lit(80))).cast("double") / 100).alias("latitude"),
+            ((F.lit(-7440) + F.pmod(F.col("c_nationkey") * 7, F.lit(80))).cast("double") / 100).alias("longitude"),
+        ).alias("coordinates"),
+        F.when(F.pmod(key, F.lit(13)) != 0, F.struct(F.col("c_mktsegment").alias("type"))).alias("entity"),
+        sensors.alias("sensors"),
+    )
+    page = F.floor(key / LOCATION_PAGE_SIZE)
+    return c.groupBy(page.alias("page")).agg(
+        F.to_json(F.struct(F.sort_array(F.collect_list(loc)).alias("results"))).alias("value")
+    )
+
+
+def sensor_days_text(spark: SparkSession, root: str) -> DataFrame:
+    """Per-sensor daily results, one landed record per reading."""
+    o = load(spark, root, "orders")
+    pid = F.substring("o_orderpriority", 1, 1).cast("long")
+    utc = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00Z"))
+    value = F.when(F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 10000).cast("double") - 2)
+    period = F.when(F.pmod(F.col("o_orderkey"), F.lit(101)) != 0, F.struct(F.struct(utc.alias("utc")).alias("datetimeFrom")))
+    rec = F.struct(
+        (F.col("o_custkey") * 10 + pid).alias("sensor_id"),
+        F.array(F.struct(value.alias("value"), period.alias("period"))).alias("results"),
+    )
+    return o.select(F.to_json(rec).alias("value"))
+
+
+def gdp_documents_text(spark: SparkSession, root: str) -> DataFrame:
+    """One ``[metadata, [record, ...]]`` document per country (records: one per year,
+    so a document is bounded by the number of years)."""
+    g = gdp_bronze(spark, root)
+    rec = F.struct(
+        F.struct(F.lit("NY.GDP.MKTP.CD").alias("id"), F.lit("GDP (current US$)").alias("value")).alias("indicator"),
+        F.struct(F.col("countryiso3code").alias("id"), F.col("countryiso3code").alias("value")).alias("country"),
+        F.col("countryiso3code"),
+        F.col("date"),
+        F.col("value"),
+        F.lit("").alias("unit"),
+        F.lit("").alias("obs_status"),
+        F.lit(0).alias("decimal"),
+    )
+    per_country = g.groupBy("countryiso3code").agg(
+        F.sort_array(F.collect_list(F.struct("date", rec.alias("r")))).alias("rs"), F.count(F.lit(1)).alias("n")
+    )
+    meta = F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"), F.lit(100).alias("per_page"), F.col("n").alias("total"))
+    return per_country.select(
+        F.concat(F.lit("["), F.to_json(meta), F.lit(","), F.to_json(F.transform("rs", lambda x: x["r"])), F.lit("]")).alias("value")
+    )
+
+
+def zone_csv_lines(spark: SparkSession, root: str) -> DataFrame:
+    z = zones_bronze(spark, root)
+    return z.select(F.concat_ws(",", "LocationID", "Borough", "Zone", "service_zone").alias("line"))
+
+
+def fx_csv_lines(spark: SparkSession, root: str) -> DataFrame:
+    """32-column exchange-rate export lines; OBS_VALUE is empty on the 13th of a month."""
+    from .payloads import FX_CSV
+
+    b = fx_bronze(spark, root)
+    values = {
+        "KEY": F.col("KEY"),
+        "FREQ": F.col("FREQ"),
+        "CURRENCY": F.col("CURRENCY"),
+        "CURRENCY_DENOM": F.col("CURRENCY_DENOM"),
+        "EXR_TYPE": F.lit("SP00"),
+        "EXR_SUFFIX": F.lit("A"),
+        "TIME_PERIOD": F.col("TIME_PERIOD"),
+        "OBS_VALUE": F.when(F.substring("TIME_PERIOD", 9, 2) != "13", F.format_string("%.2f", F.col("OBS_VALUE"))).otherwise(F.lit("")),
+        "OBS_STATUS": F.lit("A"),
+        "OBS_CONF": F.lit("F"),
+        "TIME_FORMAT": F.lit("P1D"),
+        "COLLECTION": F.lit("A"),
+        "DECIMALS": F.lit("4"),
+        "TITLE": F.lit("US dollar/Euro"),
+        "UNIT": F.lit("USD"),
+        "UNIT_MULT": F.lit("0"),
+    }
+    cols = [values.get(f.name, F.lit("")) for f in FX_CSV.fields]
+    return b.select(F.concat_ws(",", *cols).alias("line"))
