@@ -70,9 +70,14 @@ def add_duration_minutes(df: DataFrame, start: str, end: str, name: str = "trip_
     """Elapsed minutes between two timestamps, rounded to 2 digits (P10).
 
     Differences are taken between whole epoch seconds, as ``unix_timestamp`` does.
+    Rounding is done on integers, hundredths = floor((10 * secs + 3) / 6): the
+    same value as ``round(secs / 60, 2)`` because ``secs / 60`` never falls on
+    a half hundredth for whole seconds, and without a BigDecimal per row.  The
+    seconds expression is used once, so filters that Catalyst pushes below this
+    projection do not repeat it.
     """
     secs = F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))
-    return df.withColumn(name, F.round(secs / 60.0, 2))
+    return df.withColumn(name, F.floor((secs * 10 + 3) / 6) / 100.0)
 
 
 def valid_measurements(df: DataFrame, value: str = "value") -> DataFrame:

@@ -27,14 +27,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import load
+from .tables import load, spread
 
 TRIP_DATE_FROM = "1996-01-01"
 TRIP_DATE_TO = "2001-01-01"
 
 
 def _trip_base(spark: SparkSession, root: str, linestatus: str) -> DataFrame:
-    li = load(spark, root, "lineitem").filter(F.col("l_linestatus") == linestatus)
+    li = spread(load(spark, root, "lineitem")).filter(F.col("l_linestatus") == linestatus)
     sup = load(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     # supplier is a dimension; Catalyst/AQE broadcast it only while its measured
     # size is under the broadcast threshold, sort-merge join otherwise.
@@ -44,22 +44,19 @@ def _trip_base(spark: SparkSession, root: str, linestatus: str) -> DataFrame:
     )
     j = j.withColumn("_pickup", pickup)
     dropoff = F.expr("timestampadd(SECOND, CAST(240 * l_quantity + 7 * l_linenumber AS INT), _pickup)")
-    fare = F.expr("CASE WHEN l_discount = 0 THEN -l_extendedprice ELSE l_extendedprice END")
-    tip = F.expr(
-        "CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS DOUBLE)"
-    )
+    price_c = F.rint(F.col("l_extendedprice") * 100).cast("long")  # cents
+    disc_c = F.rint(F.col("l_discount") * 100).cast("long")  # hundredths
+    fare_c = F.when(F.col("l_discount") == 0, -price_c).otherwise(price_c)
+    # tip = price * discount rounded half up to cents, in integer arithmetic
+    tip_c = F.floor((price_c * disc_c + 50) / 100).cast("long")
     return j.select(
         "*",
         (F.col("l_suppkey") % 2 + 1).alias("_vendor"),
         F.col("_pickup").alias("_pu_ts"),
         dropoff.alias("_do_ts"),
-        fare.alias("_fare"),
-        tip.alias("_tip"),
-    ).withColumn(
-        "_total",
-        F.expr(
-            "CAST(CAST(_fare AS DECIMAL(12,2)) + CAST(_tip AS DECIMAL(12,2)) + CAST(1.30 AS DECIMAL(4,2)) AS DOUBLE)"
-        ),
+        (fare_c / 100.0).alias("_fare"),
+        (tip_c / 100.0).alias("_tip"),
+        ((fare_c + tip_c + 130) / 100.0).alias("_total"),
     )
 
 
@@ -112,7 +109,7 @@ def green_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 def measurements_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Flat daily sensor readings, the 12-column bronze measurement shape (P18 output)."""
-    o = load(spark, root, "orders")
+    o = spread(load(spark, root, "orders"))
     loc = (F.pmod(F.col("o_custkey"), F.lit(7)) + 1).cast("long")
     pid = F.substring("o_orderpriority", 1, 1).cast("long")
     utc = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00Z"))
