@@ -119,6 +119,11 @@ def _empty_schema(spark: SparkSession, spec: TripSourceSpec) -> T.StructType:
     return T.StructType(fields + [T.StructField("taxi_type", T.StringType())])
 
 
+def _strip(c):
+    # ``trim`` removes spaces only; file names may carry a newline or tab
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def month_manifest(
     spark: SparkSession,
     first_month: str,
@@ -148,11 +153,11 @@ def month_manifest(
     ).select(
         F.col("prefix"),
         F.date_format("month_start", "yyyy-MM").alias("month"),
-        F.trim(F.concat(F.col("prefix"), F.date_format("month_start", "yyyy-MM"), F.lit(suffix))).alias("file_name"),
+        _strip(F.concat(F.col("prefix"), F.date_format("month_start", "yyyy-MM"), F.lit(suffix))).alias("file_name"),
     )
     if present is None:
         return expected
-    got = present.select(F.trim(F.col("file_name")).alias("file_name")).distinct().withColumn("_present", F.lit(True))
+    got = present.select(_strip(F.col("file_name")).alias("file_name")).distinct().withColumn("_present", F.lit(True))
     return expected.join(got, "file_name", "left").select(
         "prefix", "month", "file_name", F.coalesce(F.col("_present"), F.lit(False)).alias("present")
     )
