@@ -14,6 +14,8 @@ from ..functions.dates import (
 )
 from .joins import join_dimension
 
+DAYS_BOUND = 366 * 200  # calendar days of two centuries
+
 
 def distinct_dates(frames_and_cols: list[tuple[DataFrame, str]]) -> DataFrame:
     """Set union of the distinct calendar dates of several tables.
@@ -92,7 +94,10 @@ def star_trips(fact: DataFrame, dim_dt: DataFrame, zone: DataFrame, fx: DataFram
         F.col("date_key").alias("dd_date_key"), "quarter", "day_of_week", "is_weekend", "week_of_year"
     )
     fxd = fx.select(F.col("date_key").alias("fx_date_key"), "usd_eur_rate")
-    out = join_dimension(fact, dd, F.col("date_key") == F.col("dd_date_key"))
+    # DimDate holds one row per distinct calendar day (a proven bound): broadcast.
+    # DimFX is one row per day only by convention of the source, so its join is
+    # left to the measured-size decision of Catalyst/AQE.
+    out = join_dimension(fact, dd, F.col("date_key") == F.col("dd_date_key"), bounded_rows=DAYS_BOUND)
     out = join_dimension(out, fxd, F.col("date_key") == F.col("fx_date_key"))
     out = join_dimension(out, pu, F.col("pickup_zone_id") == F.col("pu_zone_id"))
     out = join_dimension(out, do, F.col("dropoff_zone_id") == F.col("do_zone_id"))

@@ -39,21 +39,25 @@ def zone_hour_link(
     """Q02: pickup zones and pickup hours whose daily demand moves most with the
     daily pollutant level (top ``top_n`` of each by absolute correlation)."""
     pol = daily_pollutant(fact_air, air_cut, opts.pollutant, opts.digits)
-    trips = silver_trips.select(
-        F.col("PULocationID").alias("zone"),
-        F.col("pickup_hour").alias("hour"),
-        (F.col("pickup_year") * 10000 + F.col("pickup_month") * 100 + F.col("pickup_day")).cast("int").alias("date_key"),
+    # one pass over the trips: each trip contributes a (zone) key and an (hour)
+    # key, so both dimensions share one scan and one partial aggregation
+    keys = F.array(
+        F.struct(F.lit("zone").alias("dimension"), F.col("PULocationID").cast("long").alias("key")),
+        F.struct(F.lit("hour").alias("dimension"), F.col("pickup_hour").cast("long").alias("key")),
+    )
+    date_key = (F.col("pickup_year") * 10000 + F.col("pickup_month") * 100 + F.col("pickup_day")).cast("int")
+    daily = (
+        silver_trips.select(F.explode(keys).alias("k"), date_key.alias("date_key"))
+        .select("k.dimension", "k.key", "date_key")
+        .filter(F.col("key").isNotNull())
+        .groupBy("dimension", "key", "date_key")
+        .agg(F.count(F.lit(1)).alias("trips"))
+    )
+    j = join_dimension(daily, pol, "date_key", "inner", bounded_rows=DAYS_BOUND)
+    both = j.groupBy("dimension", "key").agg(
+        F.round(safe_corr("trips", "pollutant"), 6).alias("correlation"),
+        F.count(F.lit(1)).alias("n_days"),
     )
-
-    def by(key: str) -> DataFrame:
-        daily = trips.filter(F.col(key).isNotNull()).groupBy(key, "date_key").agg(F.count(F.lit(1)).alias("trips"))
-        j = join_dimension(daily, pol, "date_key", "inner", bounded_rows=DAYS_BOUND)
-        return j.groupBy(key).agg(
-            F.round(safe_corr("trips", "pollutant"), 6).alias("correlation"),
-            F.count(F.lit(1)).alias("n_days"),
-        ).select(F.lit(key).alias("dimension"), F.col(key).cast("long").alias("key"), "correlation", "n_days")
-
-    both = by("zone").unionByName(by("hour"))
     # at most (#zones + 24) rows: partition by dimension is bounded
     w = Window.partitionBy("dimension").orderBy(F.abs("correlation").desc_nulls_last(), F.col("key").asc())
     return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= opts.top_n)
