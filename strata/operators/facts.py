@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
-from ..functions.fixedpoint import exact_round_avg, exact_round_sum, units_sum, units_to_double
+from ..functions.fixedpoint import exact_round_avg, exact_round_ratio, exact_round_sum, to_units, units_sum, units_to_double
 
 MONEY_SCALE = 2  # money columns are in cents
 DURATION_SCALE = 2  # trip_duration_minutes is rounded to 2 digits in silver
@@ -66,11 +66,17 @@ def fact_air_quality_daily(silver_measurements: DataFrame) -> DataFrame:
     )
 
 
-def taxi_month_cut(fact: DataFrame, digits: int = 6) -> DataFrame:
+def weighted_mean(col: str, weight: str, scale: int, digits: int) -> F.Column:
+    """Aggregate: mean of ``col`` weighted by ``weight``, exact, rounded to ``digits``."""
+    return exact_round_ratio(F.sum(to_units(col, scale) * F.col(weight)), F.sum(weight), scale, digits)
+
+
+def taxi_month_cut(fact: DataFrame, digits: int = 6, weighted: bool = False) -> DataFrame:
     """Month re-aggregation keeping zones and type.
 
-    ``avg_trip_duration`` is the unweighted mean of the daily means (reference
-    semantics), computed exactly and rounded to ``digits``.
+    ``avg_trip_duration`` is the unweighted mean of the daily means (the original
+    semantics) or, with ``weighted``, the mean weighted by the daily trip counts;
+    computed exactly and rounded to ``digits``.
     """
     return fact.groupBy("year", "month", "taxi_type", "pickup_zone_id", "dropoff_zone_id").agg(
         F.sum("trip_count").cast("bigint").alias("trip_count"),
@@ -79,15 +85,23 @@ def taxi_month_cut(fact: DataFrame, digits: int = 6) -> DataFrame:
         units_to_double(units_sum("total_fare", MONEY_SCALE), MONEY_SCALE).alias("total_fare"),
         units_to_double(units_sum("total_tips", MONEY_SCALE), MONEY_SCALE).alias("total_tips"),
         units_to_double(units_sum("total_revenue", MONEY_SCALE), MONEY_SCALE).alias("total_revenue"),
-        exact_round_avg("avg_trip_duration", DURATION_SCALE, digits).alias("avg_trip_duration"),
+        (
+            weighted_mean("avg_trip_duration", "trip_count", DURATION_SCALE, digits)
+            if weighted
+            else exact_round_avg("avg_trip_duration", DURATION_SCALE, digits)
+        ).alias("avg_trip_duration"),
     )
 
 
-def air_month_cut(fact: DataFrame, digits: int = 6) -> DataFrame:
+def air_month_cut(fact: DataFrame, digits: int = 6, weighted: bool = False) -> DataFrame:
     """Month re-aggregation: sum of counts, mean of daily means, min of mins, max of maxes."""
     return fact.groupBy("year", "month", "location_id", "location_name", "parameter_name", "parameter_units").agg(
         F.sum("measurement_count").cast("bigint").alias("measurement_count"),
-        exact_round_avg("avg_value", VALUE_SCALE, digits).alias("avg_value"),
+        (
+            weighted_mean("avg_value", "measurement_count", VALUE_SCALE, digits)
+            if weighted
+            else exact_round_avg("avg_value", VALUE_SCALE, digits)
+        ).alias("avg_value"),
         F.min("min_value").alias("min_value"),
         F.max("max_value").alias("max_value"),
     )

@@ -108,11 +108,11 @@ class Lakehouse:
     # month cuts and shared report inputs -------------------------------------
     @cached_property
     def taxi_cut(self) -> DataFrame:
-        return facts.taxi_month_cut(self.fact_taxi, self.options.digits)
+        return facts.taxi_month_cut(self.fact_taxi, self.options.digits, self.options.weighted)
 
     @cached_property
     def air_cut(self) -> DataFrame:
-        return facts.air_month_cut(self.fact_air, self.options.digits)
+        return facts.air_month_cut(self.fact_air, self.options.digits, self.options.weighted)
 
     @cached_property
     def pollutant(self) -> DataFrame:

@@ -18,7 +18,9 @@ DAYS_BOUND = 366 * 200  # calendar days in any realistic date range: a proven bo
 def daily_pollutant(fact_air: DataFrame, air_cut: DataFrame, choice: PollutantChoice, digits: int) -> DataFrame:
     """Mean daily value of the selected pollutant, one row per date_key."""
     pick = reports.pollutant_candidates(air_cut, choice).filter("selected").select("parameter_name")
-    pm = fact_air.join(F.broadcast(pick), "parameter_name", "left_semi")
+    # the pick has one row per selected parameter; its join strategy is left to
+    # the measured-size decision of Catalyst/AQE (no proven bound on parameters)
+    pm = fact_air.join(pick, "parameter_name", "left_semi")
     return pm.groupBy("date_key").agg(exact_round_avg("avg_value", VALUE_SCALE, digits).alias("pollutant"))
 
 

@@ -27,6 +27,15 @@ def _money_sum(col: str) -> F.Column:
 
 
 def _mean(col: str, opts: ReportOptions, scale: int = CUT_DIGITS) -> F.Column:
+    """Mean of month-cut means: unweighted (original semantics) or weighted by
+    the number of measurements behind each mean (``opts.weighted``)."""
+    if opts.weighted:
+        return exact_round_ratio(
+            F.sum(F.rint(F.col(col) * 10**scale).cast("long") * F.col("measurement_count")),
+            F.sum("measurement_count"),
+            scale,
+            opts.digits,
+        )
     return exact_round_avg(col, scale, opts.digits)
 
 
@@ -147,9 +156,10 @@ def pollutant_candidates(air_cut: DataFrame, choice: PollutantChoice) -> DataFra
 
 
 def pollutant_frame(air_cut: DataFrame, choice: PollutantChoice) -> DataFrame:
-    """Month-cut rows of the selected pollutant (semi-join to the bounded pick)."""
+    """Month-cut rows of the selected pollutant (semi-join to the pick; AQE picks
+    a broadcast at run time when the measured pick is small)."""
     pick = pollutant_candidates(air_cut, choice).filter("selected").select("parameter_name")
-    return air_cut.join(F.broadcast(pick), "parameter_name", "left_semi")
+    return air_cut.join(pick, "parameter_name", "left_semi")
 
 
 def pollutant_monthly(pm: DataFrame, opts: ReportOptions = ReportOptions()) -> DataFrame:
@@ -263,7 +273,7 @@ def revenue_fx_monthly(taxi_cut: DataFrame, fxm: DataFrame, opts: ReportOptions
     Months without a rate get the mean of the monthly rates that did join
     (mean over the report rows, not over the FX table).  EUR = USD / rate.
     """
-    # one row per calendar month on each side: bounded, broadcast is safe
+    # fx_monthly is grouped by (year, month): one row per calendar month, a proven bound
     j = join_dimension(taxi_monthly_totals(taxi_cut), fxm, ["year", "month"], "left", bounded_rows=12 * 200)
     everything = Window.partitionBy()
     u = F.rint(F.col("usd_eur_rate") * 10**opts.digits).cast("long")
@@ -298,7 +308,8 @@ def revenue_gdp_yearly(revenue_fx: DataFrame, dim_gdp: DataFrame, opts: ReportOp
     GDP, year-over-year growth and its direction."""
     yearly = revenue_fx.groupBy("year").agg(_money_sum_double("total_revenue").alias("total_revenue"))
     gdp = dim_gdp.filter(F.col("country_code") == opts.country).select("year", "gdp_usd")
-    j = join_dimension(yearly, gdp, "year", "left", bounded_rows=200)
+    # several rows per (country, year) are possible in the source: no proven bound
+    j = join_dimension(yearly, gdp, "year", "left")
     growth = pct_change("total_revenue", "year")
     return (
         j.withColumn("gdp_trillions", F.col("gdp_usd") / 1e12)

@@ -181,3 +181,19 @@ def test_conform_rejects_missing_and_null_in_not_null(spark):
     bad = spark.createDataFrame([(1, dt.date(2020, 1, 1), 2020, 1, 1, 1, 1, None, 1)], "date_key int, date date, year int, quarter int, month int, day_of_month int, day_of_week int, is_weekend int, week_of_year int")
     with pytest.raises(Exception):
         schemas.conform(bad, schemas.DIM_DATE).collect()
+
+
+def test_weighted_versus_unweighted_month_means(spark):
+    fact = spark.createDataFrame(
+        [(2020, 1, "yellow", 1, 2, 1, 10.0), (2020, 1, "yellow", 1, 2, 3, 20.0)],
+        "year int, month int, taxi_type string, pickup_zone_id bigint, dropoff_zone_id bigint, trip_count int, avg_trip_duration double",
+    ).withColumn("total_passengers", F.lit(0).cast("bigint"))
+    for c in ("total_distance", "total_fare", "total_tips", "total_revenue"):
+        fact = fact.withColumn(c, F.lit(0.0))
+    assert facts.taxi_month_cut(fact).collect()[0].avg_trip_duration == 15.0
+    assert facts.taxi_month_cut(fact, weighted=True).collect()[0].avg_trip_duration == 17.5
+    pm = spark.createDataFrame(
+        [(2020, 1, 1, "A", "pm25", "u", 1, 1.0, 1.0, 1.0), (2020, 1, 2, "B", "pm25", "u", 3, 3.0, 3.0, 3.0)], AIR_CUT
+    )
+    assert reports.pollutant_kpis(pm).collect()[0].avg_value == 2.0
+    assert reports.pollutant_kpis(pm, ReportOptions(weighted=True)).collect()[0].avg_value == 2.5
