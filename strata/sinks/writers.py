@@ -56,10 +56,11 @@ def write_mapped(df: DataFrame, path: str, mapping: dict[str, str], fmt: str = "
     overwrite(df.select(*[F.col(s).alias(d) for s, d in mapping.items()]), path, fmt)
 
 
-def create_table_as(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
-    """``CREATE TABLE name USING fmt AS SELECT ...`` (replaces an existing table)."""
+def create_table_as(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet", location: str | None = None) -> DataFrame:
+    """``CREATE TABLE name USING fmt [LOCATION path] AS SELECT ...`` (replaces it)."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} AS {select_sql}")
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {name} USING {fmt}{loc} AS {select_sql}")
     return spark.table(name)
 
 
