@@ -703,3 +703,8 @@ q(
     UNION ALL SELECT 'DimGDP', count(*) FROM dim_gdp
     UNION ALL SELECT 'GDP_mapped', count(*) FROM dim_gdp""",
 )
+q(
+    "measurements_by_year",
+    ["silver_measurements"],
+    "SELECT measurement_year, count(*) AS row_count FROM silver_measurements GROUP BY measurement_year ORDER BY measurement_year",
+)

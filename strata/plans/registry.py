@@ -117,6 +117,7 @@ QUERIES: dict[str, Query] = {
     # R09 summary
     "row_counts": _row_counts,
     "counts_by_type_year": lambda s, r: reports.counts_by_type_year(_lh(s, r).silver_trips),
+    "measurements_by_year": lambda s, r: reports.counts_by_year(_lh(s, r).silver_measurements, "measurement_year"),
     "summary": _summary,
     # advertised questions
     "daily_corr": lambda s, r: (lambda lh: questions.daily_corr(lh.fact_taxi, lh.fact_air, lh.air_cut, lh.options))(

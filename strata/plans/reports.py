@@ -341,6 +341,11 @@ def counts_by_type_year(silver_trips: DataFrame) -> DataFrame:
     )
 
 
+def counts_by_year(df, year_col: str) -> DataFrame:
+    """Rows per year of a silver table, ordered (e.g. measurements per year)."""
+    return df.groupBy(year_col).agg(F.count(F.lit(1)).alias("row_count")).orderBy(year_col)
+
+
 def summary(taxi_cut: DataFrame, air_cut: DataFrame, dim_date_df: DataFrame, zone: DataFrame, fx: DataFrame, gdp: DataFrame) -> DataFrame:
     """Project summary as (metric, value) rows — a union of one-row
     aggregates instead of a cross join of them."""
