@@ -76,21 +76,20 @@ ZONE_CSV = T.StructType(
     ]
 )
 
-_FX_TEXT = (
-    "KEY FREQ CURRENCY CURRENCY_DENOM EXR_TYPE EXR_SUFFIX".split(),
-    "OBS_STATUS OBS_CONF OBS_PRE_BREAK OBS_COM TIME_FORMAT BREAKS COLLECTION COMPILING_ORG DISS_ORG "
-    "DOM_SER_IDS PUBL_ECB PUBL_MU PUBL_PUBLIC UNIT_INDEX_BASE COMPILATION COVERAGE".split(),
-    "NAT_TITLE SOURCE_AGENCY SOURCE_PUB TITLE TITLE_COMPL UNIT".split(),
-)
-# The 32 columns of the exchange-rate export, in file order.
-FX_CSV = T.StructType(
-    [T.StructField(n, T.StringType()) for n in _FX_TEXT[0]]
-    + [T.StructField("TIME_PERIOD", T.DateType()), T.StructField("OBS_VALUE", T.DoubleType())]
-    + [T.StructField(n, T.StringType()) for n in _FX_TEXT[1]]
-    + [T.StructField("DECIMALS", T.LongType())]
-    + [T.StructField(n, T.StringType()) for n in _FX_TEXT[2]]
-    + [T.StructField("UNIT_MULT", T.LongType())]
-)
+# The 32 columns of the exchange-rate export, in file order, with
+# their types (TIME_FORMAT, a duration upstream, is never used and read as text).
+_FX_COLUMNS = [
+    ("KEY", "string"), ("FREQ", "string"), ("CURRENCY", "string"), ("CURRENCY_DENOM", "string"),
+    ("EXR_TYPE", "string"), ("EXR_SUFFIX", "string"), ("TIME_PERIOD", "date"), ("OBS_VALUE", "double"),
+    ("OBS_STATUS", "string"), ("OBS_CONF", "string"), ("OBS_PRE_BREAK", "string"), ("OBS_COM", "string"),
+    ("TIME_FORMAT", "string"), ("BREAKS", "string"), ("COLLECTION", "string"), ("COMPILING_ORG", "string"),
+    ("DISS_ORG", "string"), ("DOM_SER_IDS", "string"), ("PUBL_ECB", "string"), ("PUBL_MU", "string"),
+    ("PUBL_PUBLIC", "string"), ("UNIT_INDEX_BASE", "string"), ("COMPILATION", "string"), ("COVERAGE", "string"),
+    ("DECIMALS", "long"), ("NAT_TITLE", "string"), ("SOURCE_AGENCY", "string"), ("SOURCE_PUB", "string"),
+    ("TITLE", "string"), ("TITLE_COMPL", "string"), ("UNIT", "string"), ("UNIT_MULT", "long"),
+]
+_CSV_TYPES = {"string": T.StringType(), "date": T.DateType(), "double": T.DoubleType(), "long": T.LongType()}
+FX_CSV = T.StructType([T.StructField(n, _CSV_TYPES[t]) for n, t in _FX_COLUMNS])
 
 # Unquoted CSV: a quote character is ordinary text and a line break ends a row.
 CSV_OPTIONS = {"header": "true", "quote": "\u0000", "multiLine": "false", "mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd"}
