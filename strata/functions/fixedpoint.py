@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_WIDE = "decimal(38,0)"  # width for scaled numerators of the final rounding step
+
 
 def to_units(col: Column | str, scale: int) -> Column:
     """``x`` as a long count of ``10^-scale`` units (NULL stays NULL)."""
@@ -41,9 +43,6 @@ def round_div_half_up(num: Column, den: Column) -> Column:
     return (F.signum(n).cast("long") * idiv(q, d * 2)).cast("long")
 
 
-_WIDE = "decimal(38,0)"
-
-
 def idiv(a: Column, b: Column) -> Column:
     """Integral division of non-negative integral values (exact)."""
     return ((a - F.pmod(a, b)) / b).cast("long")

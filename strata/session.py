@@ -58,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="strata-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - some deployments refuse core settings at run time
+        pass
     spark.sparkContext.setCheckpointDir(path)
     return path
 

@@ -33,7 +33,9 @@ def spread(df: DataFrame) -> DataFrame:
     (round-robin, so no key can skew it).  At production scale a scan has
     thousands of splits and this returns ``df`` unchanged, adding no shuffle.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan alone
+        return df
+    return df.repartition(slots) if splits < slots else df
