@@ -148,17 +148,23 @@ def fx_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 
 def gdp_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """GDP records (countryiso3code, date as text, value): yearly order value per nation."""
-    from ..functions.fixedpoint import exact_round_sum
+    """GDP records (countryiso3code, date as text, value): yearly order value per nation.
 
-    o = load(spark, root, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
+    Orders are first reduced to one row per (customer, year) in exact cents, so the
+    join to customer and nation sees customers x years rows instead of every order
+    and a customer with a huge share of orders cannot skew the join.
+    """
+    from ..functions.fixedpoint import units_sum, units_to_double
+
+    o = load(spark, root, "orders")
+    per_cust = o.groupBy("o_custkey", F.year("o_orderdate").alias("yr")).agg(units_sum("o_totalprice", 2).alias("cents"))
     c = load(spark, root, "customer").select("c_custkey", "c_nationkey")
     n = load(spark, root, "nation").select("n_nationkey", "n_name")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    j = per_cust.join(c, per_cust.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy(
         F.col("n_name").alias("countryiso3code"),
-        F.year("o_orderdate").cast("string").alias("date"),
-    ).agg(exact_round_sum("o_totalprice", 2, 2).alias("value"))
+        F.col("yr").cast("string").alias("date"),
+    ).agg(units_to_double(F.sum("cents"), 2).alias("value"))
 
 
 def zones_bronze(spark: SparkSession, root: str) -> DataFrame:
