@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,28 +42,31 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") ->
     )
 
 
-def _probe(batches):
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        out = []
-        for p in pdf["path"]:
-            local = p[len("file:") :] if p.startswith("file:") else p
-            try:
-                sch = pq.read_schema(local)
-                out.append((p, sch.to_string(show_schema_metadata=False), None))
-            except Exception as e:  # noqa: BLE001 - any unreadable footer rejects the file
-                out.append((p, None, f"{type(e).__name__}: {str(e)[:200]}"))
-        yield pd.DataFrame(out, columns=["path", "schema_json", "error"])
-
-
 def probe_schemas(files: DataFrame) -> DataFrame:
     """S03 (probe): read each file's parquet footer on the executors.
 
     Returns (path, schema text, error); corrupt files carry an error and no schema.
     Only footers are touched: the cost is one small read per file, spread over tasks.
+    The probe is defined inside this function so it is shipped to the workers by
+    value and needs nothing from this package there (only pandas and pyarrow).
     """
-    return files.select("path").mapInPandas(_probe, MANIFEST_SCHEMA)
+
+    def probe(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            out = []
+            for p in pdf["path"]:
+                local = p[len("file:") :] if p.startswith("file:") else p
+                try:
+                    sch = pq.read_schema(local)
+                    out.append((p, sch.to_string(show_schema_metadata=False), None))
+                except Exception as e:  # noqa: BLE001 - any unreadable footer rejects the file
+                    out.append((p, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            yield pd.DataFrame(out, columns=["path", "schema_json", "error"])
+
+    return files.select("path").mapInPandas(probe, MANIFEST_SCHEMA)
 
 
 @dataclass
