@@ -113,8 +113,8 @@ def _trip_std(base: str, taxi_type: str) -> str:
            fare AS fare_amount, 0.5::DOUBLE AS extra, 0.5::DOUBLE AS mta_tax, tip AS tip_amount,
            0.0::DOUBLE AS tolls_amount, 0.3::DOUBLE AS improvement_surcharge,
            CAST(CAST(fare AS DECIMAL(12,2)) + CAST(tip AS DECIMAL(12,2)) + 1.30 AS DOUBLE) AS total_amount,
-           CASE WHEN l_returnflag = 'R' THEN 2.5 END AS congestion_surcharge,
-           {"CASE WHEN l_linenumber = 1 THEN 1.25 END" if yellow else "CAST(NULL AS DOUBLE)"} AS Airport_fee,
+           CASE WHEN l_returnflag = 'R' THEN 2.5::DOUBLE END AS congestion_surcharge,
+           {"CASE WHEN l_linenumber = 1 THEN 1.25::DOUBLE END" if yellow else "CAST(NULL AS DOUBLE)"} AS Airport_fee,
            CAST(NULL AS DOUBLE) AS ehail_fee,
            {"CAST(NULL AS BIGINT)" if yellow else "CAST(l_orderkey % 2 + 1 AS BIGINT)"} AS trip_type,
            '{taxi_type}' AS taxi_type
@@ -577,7 +577,7 @@ q(
         UNION ALL
         SELECT 'hour', CAST(h.hour AS BIGINT), {corr('trips', 'pollutant')}, count(*)
         FROM h JOIN daily_pollutant p ON h.date_key = p.date_key GROUP BY h.hour),
-    r AS (SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY abs(correlation) DESC NULLS LAST, key ASC) AS rank FROM both_)
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY dimension ORDER BY abs(correlation) DESC NULLS LAST, key ASC) AS INTEGER) AS rank FROM both_)
     SELECT * FROM r WHERE rank <= 10""",
 )
 q(

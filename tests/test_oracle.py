@@ -14,6 +14,8 @@ from tools.check_oracle import TABLES, canon
 from .conftest import SF_SMALL
 
 QUERIES = entry.queries()
+# Spark type -> DuckDB type name, for the column-type part of the comparison
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 SQL = entry.oracle_sql()
 
 
@@ -35,6 +37,10 @@ def test_every_query_has_oracle_sql():
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
+    rel = con.sql(SQL[key])
+    dtypes = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == dtypes
     cur = con.execute(SQL[key])
     drows = cur.fetchall()
     dcols = [d[0] for d in cur.description]
