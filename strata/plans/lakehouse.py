@@ -136,12 +136,17 @@ class Lakehouse:
 
         Each layer is read back from storage before the next is built, so the
         lineage is cut per layer: a lost executor costs a re-read of files, not
-        a recomputation from the landing data.
+        a recomputation from the landing data.  Row counts per table are
+        observed during the writes (``written_rows``), not recomputed.
         """
-        from ..sinks.writers import write_and_reload
+        from ..sinks.writers import write_counted
+
+        self.written_rows: dict[str, int] = {}
 
         def put(name: str, df: DataFrame) -> DataFrame:
-            return write_and_reload(df, f"{warehouse.rstrip('/')}/{name}", fmt)
+            back, n = write_counted(df, f"{warehouse.rstrip('/')}/{name}", fmt)
+            self.written_rows[name] = n
+            return back
 
         for name in ("silver_trips", "silver_measurements", "silver_fx", "silver_gdp"):
             self.__dict__[name] = put(name, getattr(self, name))

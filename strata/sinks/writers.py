@@ -80,3 +80,16 @@ def write_and_reload(df: DataFrame, path: str, fmt: str = "parquet") -> DataFram
     lineage, so a lost executor re-reads files instead of recomputing the plan."""
     overwrite(df, path, fmt)
     return df.sparkSession.read.format(fmt).load(path)
+
+
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, int]:
+    """Write ``df`` and return (the written table, its row count).
+
+    The count is an observed metric of the write job itself (A24), so the data
+    is evaluated once instead of once for ``count()`` and again for the write.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation("rows_written")
+    overwrite(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
+    return df.sparkSession.read.format(fmt).load(path), int(obs.get["rows"])

@@ -31,6 +31,9 @@ def test_materialized_layers_give_same_reports(spark, tmp):
             "fact_taxi": "FactTaxiDaily", "fact_air": "FactAirQualityDaily", "dim_date": "DimDate",
             "dim_zone": "DimZone", "dim_fx": "DimFX", "dim_gdp": "DimGDP"}[name]])
     assert _rows(reports.monthly_trips(stored.taxi_cut)) == _rows(reports.monthly_trips(lazy.taxi_cut))
+    # counts observed during the writes equal counts of the lazy plans
+    assert stored.written_rows["silver_trips"] == lazy.silver_trips.count()
+    assert stored.written_rows["fact_taxi"] == lazy.fact_taxi.count()
     assert _rows(stored.trip_pollution) == _rows(lazy.trip_pollution)
 
 
