@@ -155,3 +155,80 @@ class Lakehouse:
         for name in ("taxi_cut", "air_cut", "pollutant", "fx_monthly", "revenue_fx", "trip_pollution"):
             self.__dict__.pop(name, None)
         return self
+
+
+class LandedLakehouse(Lakehouse):
+    """The same layers over real landed files, with the original parameters.
+
+    ``landing`` holds ``yellow/`` and ``green/`` monthly parquet folders,
+    ``locations/`` (location pages JSON), ``sensor_days/`` (per-sensor daily
+    results JSON), ``fx.csv``, ``gdp/`` (one JSON document per country) and
+    ``zones.csv``.  Validity rules and report options default to the original
+    values (2015-2024 window, PM2.5 pattern, USA GDP).
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        landing: str,
+        rules: TripRules = TripRules(),
+        options: ReportOptions = ReportOptions(),
+        case_sensitive: bool = False,
+    ):
+        super().__init__(spark, landing, rules, options)
+        self.case_sensitive = case_sensitive
+
+    def _p(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    @cached_property
+    def landing_manifest(self) -> DataFrame:
+        return self._loaded[1]
+
+    @cached_property
+    def _loaded(self) -> tuple[DataFrame, DataFrame]:
+        from ..config import GREEN, YELLOW
+        from ..operators.standardize import union_all
+        from ..sources.files import load_parquet_set
+
+        y = load_parquet_set(self.spark, self._p("yellow"), YELLOW, self.case_sensitive)
+        g = load_parquet_set(self.spark, self._p("green"), GREEN, self.case_sensitive)
+        return union_all([y.data, g.data]), y.manifest.unionByName(g.manifest)
+
+    @cached_property
+    def silver_trips(self) -> DataFrame:
+        return silver.clean_trips(self._loaded[0], self.rules)
+
+    @cached_property
+    def measurements_bronze(self) -> DataFrame:
+        from ..sources import payloads
+
+        locs = payloads.in_box(payloads.read_locations(self.spark, self._p("locations")))
+        days = payloads.read_sensor_days(self.spark, self._p("sensor_days"))
+        return payloads.flatten_measurements(locs, days)
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        """Silver copy of the in-box locations (flattened attributes)."""
+        from ..sources import payloads
+
+        return payloads.flatten_locations(payloads.in_box(payloads.read_locations(self.spark, self._p("locations"))))
+
+    @cached_property
+    def silver_fx(self) -> DataFrame:
+        from ..sources import payloads
+
+        return silver.silver_fx(payloads.read_csv(self.spark, self._p("fx.csv"), payloads.FX_CSV))
+
+    @cached_property
+    def silver_gdp(self) -> DataFrame:
+        from ..sources import payloads
+
+        return silver.silver_gdp(payloads.read_gdp_json(self.spark, self._p("gdp")))
+
+    @cached_property
+    def dim_zone(self) -> DataFrame:
+        from ..sources import payloads
+
+        zones = payloads.read_csv(self.spark, self._p("zones.csv"), payloads.ZONE_CSV)
+        return schemas.conform(dims.dim_zone(zones), schemas.DIM_ZONE)
