@@ -1,0 +1 @@
+"""Column expressions: calendar parts, exact fixed-point aggregation, statistics."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: standardise, cleanse, facts, dimensions, joins."""

@@ -1,0 +1 @@
+"""Composed plans: silver/gold layer stack, reports, questions, query registry, oracle SQL."""

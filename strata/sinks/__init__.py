@@ -1,0 +1 @@
+"""Table writers with schema rules, counted writes and materialisation."""

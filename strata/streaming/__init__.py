@@ -1,0 +1 @@
+"""Structured Streaming: incremental silver loading of landing folders."""
