@@ -352,8 +352,17 @@ def summary(taxi_cut: DataFrame, air_cut: DataFrame, dim_date_df: DataFrame, zon
     parts = [
         taxi_cut.agg(F.sum("trip_count").cast("bigint").alias("value")).select(F.lit("taxi_trips").alias("metric"), "value"),
         air_cut.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit("air_quality_rows").alias("metric"), "value"),
-        dim_date_df.agg(F.min("year").cast("bigint").alias("value")).select(F.lit("first_year").alias("metric"), "value"),
-        dim_date_df.agg(F.max("year").cast("bigint").alias("value")).select(F.lit("last_year").alias("metric"), "value"),
+        # first and last year from one aggregate, emitted as two rows
+        dim_date_df.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+        .select(
+            F.explode(
+                F.array(
+                    F.struct(F.lit("first_year").alias("metric"), F.col("lo").cast("bigint").alias("value")),
+                    F.struct(F.lit("last_year").alias("metric"), F.col("hi").cast("bigint").alias("value")),
+                )
+            ).alias("m")
+        )
+        .select("m.metric", "m.value"),
         zone.agg(F.countDistinct("zone_id").cast("bigint").alias("value")).select(F.lit("zones").alias("metric"), "value"),
         fx.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit("fx_rows").alias("metric"), "value"),
         gdp.agg(F.countDistinct("country_code").cast("bigint").alias("value")).select(F.lit("countries").alias("metric"), "value"),
