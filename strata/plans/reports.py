@@ -289,14 +289,19 @@ def revenue_fx_monthly(taxi_cut: DataFrame, fxm: DataFrame, opts: ReportOptions
 def economic_kpis(revenue_fx: DataFrame, dim_fx_df: DataFrame, opts: ReportOptions = ReportOptions()) -> DataFrame:
     """Total revenue in USD and EUR and the mean daily rate, as (metric, value)
     rows: a union of one-row aggregates rather than a cross join of them."""
-    usd = revenue_fx.agg(_money_sum_double("total_revenue").alias("value"))
-    eur = revenue_fx.agg(F.round(F.sum("total_revenue_eur"), 2).alias("value"))
+    # both revenue totals from one aggregate over the monthly frame, as two rows
+    totals = revenue_fx.agg(
+        _money_sum_double("total_revenue").alias("usd"), F.round(F.sum("total_revenue_eur"), 2).alias("eur")
+    ).select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("total_revenue_usd").alias("metric"), F.col("usd").alias("value")),
+                F.struct(F.lit("total_revenue_eur").alias("metric"), F.col("eur").alias("value")),
+            )
+        ).alias("m")
+    ).select("m.metric", "m.value")
     rate = dim_fx_df.agg(exact_round_avg("usd_eur_rate", FX_SCALE, opts.digits).alias("value"))
-    return (
-        usd.select(F.lit("total_revenue_usd").alias("metric"), "value")
-        .unionByName(eur.select(F.lit("total_revenue_eur").alias("metric"), "value"))
-        .unionByName(rate.select(F.lit("avg_usd_eur_rate").alias("metric"), "value"))
-    )
+    return totals.unionByName(rate.select(F.lit("avg_usd_eur_rate").alias("metric"), "value"))
 
 
 def _money_sum_double(col: str) -> F.Column:
