@@ -60,10 +60,10 @@ class RunLengthIndex:
         depth = 8
         while ranks[-1].max() < n - 1:
             r = ranks[-1]
-            ahead = np.full(n, -1, np.int64)
+            ahead = np.full(n, n, np.int64)  # as if the end byte went on for ever
             if depth < n:
                 ahead[: n - depth] = r[depth:]
-            ranks.append(np.unique(r * (n + 1) + ahead + 1, return_inverse=True)[1])
+            ranks.append(np.unique(r * (n + 1) + ahead, return_inverse=True)[1])
             depth *= 2
         order = np.empty(n, np.int64)
         order[ranks[-1]] = np.arange(n)
