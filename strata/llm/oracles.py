@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"[x FOR x IN regexp_split_to_array({text}, '[\x20\x09-\x0D]+') IF x <> '']"
 
 NEAR_DUPLICATES = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
