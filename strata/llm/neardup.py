@@ -10,7 +10,8 @@ comparison of full shingle sets confirms links.
 2. Bands: classes that share a bucket are joined to the bucket's pivot (the member
    whose buckets are largest), never to each other, so a bucket of n members makes
    n - 1 pairs.  Pairs whose signatures agree in less than ``NEAR`` of the places are
-   dropped; what is not near its pivot gets a new pivot, until every member is near one.
+   dropped; what is not connected to its pivot gets a new pivot, and what is left then is
+   compared in blocks, where the members of a bucket still fall into several clusters.
 3. Near pairs connect into clusters.  Two sets that are linked share many
    buckets, and being alike they are near the same pivots, so links lie inside a cluster.
 4. Inside clusters full sets are compared by an inverted index: every pair of
@@ -49,6 +50,9 @@ ROWS = 4
 UNIVERSE = 1 << 21
 #: Share of equal signature places from which a pair counts as near its pivot.
 NEAR = 0.4
+#: Times that members of a bucket are held against a pivot before the rest is compared in blocks.
+TURNS = 2
+#: Members of a block at most (about).
 BLOCK = 1500
 #: Shingles of a block's sets at most (one larger set is a block of its own).
 BLOCK_SHINGLES = 1_500_000
@@ -138,27 +142,57 @@ def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def near_pairs(classes: DataFrame) -> DataFrame:
-    """a, b: each class with the pivots it is near to; linked classes end up connected."""
+    """a, b: pairs of near classes; classes that are linked end up connected.
+
+    ``TURNS`` times every member of a bucket is held against its pivot, and members that are connected to
+    it by then leave the bucket.  The members of what is left are compared in blocks of bounded size.
+    """
     agree = F.pandas_udf(agreement, "double")
     sigs = classes.select("node", "sig")
     rows = buckets(classes)
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     rows = materialize(rows.join(shared, "key"), "near-buckets")
     support = rows.groupBy("node").agg(F.sum("n").alias("support"))
-    rows = materialize(rows.drop("n").join(support, "node"), "near-rows")
-    found, turn = None, 0
-    while True:
-        pivot = rows.groupBy("key").agg(F.max_by(F.col("node"), F.struct("support", -F.col("node"))).alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = rows.drop("n").join(support, "node").withColumn("cluster", F.col("node"))
+    found = None
+    for turn in range(TURNS):
+        pivot = rows.groupBy("key").agg(F.max_by(F.struct("node", "cluster"), F.struct("support", -F.col("node"))).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.cluster").alias("pivot_cluster"))
         met = materialize(rows.join(pivot, "key"), f"near-met-{turn}")
-        pairs = met.filter("node != pivot").select("node", "pivot").distinct()
+        pairs = met.filter("cluster != pivot_cluster").select("node", "pivot").distinct()
         both = pairs.join(sigs, "node").join(sigs.select(F.col("node").alias("pivot"), F.col("sig").alias("sig2")), "pivot")
         near = materialize(both.filter(agree("sig", "sig2") >= NEAR).select(F.col("node").alias("a"), F.col("pivot").alias("b")), f"near-pairs-{turn}")
         found = near if found is None else found.unionByName(near)
-        rest = met.filter("node != pivot").join(near, (F.col("node") == F.col("a")) & (F.col("pivot") == F.col("b")), "left_anti")
-        rows = materialize(rest.select("key", "node", "support"), f"near-left-{turn}")
-        turn += 1
-        if rows.isEmpty():
-            return found
+        cluster = components(found).withColumnRenamed("root", "now")
+        rows = met.select("key", "node", "support", "pivot").join(cluster, "node", "left").withColumn("cluster", F.coalesce("now", "node"))
+        if turn < TURNS - 1:
+            top = cluster.select(F.col("node").alias("pivot"), F.col("now").alias("pivot_now"))
+            rows = rows.join(top, "pivot", "left").filter(F.col("cluster") != F.coalesce("pivot_now", "pivot"))
+        rows = materialize(rows.select("key", "node", "support", "cluster"), f"near-left-{turn}")
+    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("cluster").alias("c1"), F.max("cluster").alias("c2")).filter("c1 != c2")
+    rows = rows.join(mixed.select("key", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = _paired(rows.join(sigs, "node"), "key", "node", "cluster", "sig")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        node, label = group["node"].to_numpy(), group["cluster"].to_numpy().copy()
+        sig = np.stack([np.frombuffer(x, np.uint32) for x in group["sig"]])
+        out = []
+        for i in range(len(node)):
+            other = np.flatnonzero(label != label[i])
+            if len(other):
+                other = other[(sig[other] == sig[i]).mean(axis=1) >= NEAR]
+                for c in np.unique(label[other]):
+                    out.append((node[i], node[other[label[other] == c][0]]))
+                    label[label == c] = label[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return found.unionByName(rows.groupBy("key", "x", "y").applyInPandas(compare, "a long, b long"))
+
+
+def _paired(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """``key``, x, y, ``columns``: rows with ``block`` of ``blocks``, once for every pair of blocks they are in (a single block: once)."""
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block")))
+    rows = rows.select(key, "block", *columns, F.explode(others).alias("other"))
+    return rows.select(key, F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), *columns)
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -210,9 +244,7 @@ def links(docs: DataFrame, members: DataFrame, percent: int = 80) -> DataFrame:
     sets = wanted.select("node", "text", "n_shingles", "root", "block", "blocks").mapInArrow(load, "node long, shingles binary, n long, root long, block int, blocks int")
     # rows that share an id but not their text: only the text of the class counts
     sets = sets.filter(F.length("shingles") == 8 * F.col("n"))
-    both = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (x != F.col("block")) | (F.col("blocks") == 1)))
-    sets = sets.select("node", "shingles", "root", "block", F.explode(both).alias("other"))
-    sets = sets.select("root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "shingles")
+    sets = _paired(sets, "root", "node", "shingles")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
