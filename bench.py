@@ -20,10 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from strata.plans.registry import QUERIES  # noqa: E402
 from strata.session import get_session  # noqa: E402
 
-# Queries that land or write files as part of their plan: timed only when named
-# on the command line, never part of the headline sum (local I/O dominates).
-WRITES = {"files_drift", "sink_roundtrip"}
-
 
 def run_once(spark, fn, root: str) -> float:
     t = time.perf_counter()
@@ -35,7 +31,7 @@ def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    keys = sys.argv[1:] or [k for k in QUERIES if k not in WRITES]
+    keys = sys.argv[1:] or list(QUERIES)
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus))
     times: dict[str, float] = {}
     for k in keys:
@@ -44,7 +40,7 @@ def main() -> None:
         samples = [run_once(spark, fn, root) for _ in range(reps)]
         times[k] = round(statistics.median(samples), 3)
         print(f"# {k}: {times[k]:.3f}s", file=sys.stderr)
-    headline = sum(v for k, v in times.items() if k not in WRITES)
+    headline = sum(times.values())
     sf = os.path.basename(root.rstrip("/")).replace("sf", "")
     print(
         json.dumps(

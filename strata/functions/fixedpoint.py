@@ -1,11 +1,10 @@
 """Exact, engine-independent rounding of sums and averages.
 
-Money and durations in this library carry a fixed number of decimals (cents,
-hundredths of a minute).  Summing them as doubles is order-dependent; summing
-them as ``decimal`` goes through BigDecimal once the result precision exceeds
-18 digits.  Instead every value is turned into an integer count of units
-(``rint(x * 10^scale)``), summed as ``long`` inside whole-stage codegen, and
-only the final aggregate is scaled back.  Rounding half away from zero is done
+Summing doubles is order-dependent.  Instead every value is turned into an integer
+count of units (``rint(x * 10^scale)``), summed exactly, and only the final aggregate is
+rounded, once.  Source values (money, distances, rates, readings) are counted at
+``SOURCE_SCALE`` decimals; values this library has rounded itself (durations, daily
+sums and means) at the decimals they have.  Rounding half away from zero is done
 with integer division, so the result is exact and identical on any engine.
 """
 
@@ -17,14 +16,20 @@ from pyspark.sql import functions as F
 _WIDE = "decimal(38,0)"  # width for scaled numerators of the final rounding step
 
 
+# Decimals kept of a source value whose own precision is not declared: nothing is
+# rounded to the result's digits before it has been summed.
+SOURCE_SCALE = 10
+
+
 def to_units(col: Column | str, scale: int) -> Column:
-    """``x`` as a long count of ``10^-scale`` units (NULL stays NULL)."""
+    """``x`` as a count of ``10^-scale`` units (NULL and NaN give NULL): a long for the few
+    decimals of derived values, ``decimal(38,0)`` at the precision of source values."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.rint(c * (10**scale)).cast("long")
+    return F.rint(c * (10**scale)).try_cast("long" if scale <= 6 else _WIDE)
 
 
 def units_sum(col: Column | str, scale: int) -> Column:
-    """Aggregate: exact sum of ``x`` in ``10^-scale`` units (long)."""
+    """Aggregate: exact sum of ``x`` in ``10^-scale`` units."""
     return F.sum(to_units(col, scale))
 
 

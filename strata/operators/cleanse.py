@@ -24,9 +24,10 @@ def trip_rules(rules: TripRules = TripRules()) -> list[Rule]:
     return [
         Rule("pickup_from", p >= F.lit(rules.date_from).cast("timestamp_ntz")),
         Rule("pickup_to", p < F.lit(rules.date_to).cast("timestamp_ntz")),
-        Rule("fare_non_negative", F.col("fare_amount") >= 0),
-        Rule("total_non_negative", F.col("total_amount") >= 0),
-        Rule("distance_non_negative", F.col("trip_distance") >= 0),
+        # NaN compares above every number: it is rejected with the negative values
+        Rule("fare_non_negative", (F.col("fare_amount") >= 0) & ~F.isnan("fare_amount")),
+        Rule("total_non_negative", (F.col("total_amount") >= 0) & ~F.isnan("total_amount")),
+        Rule("distance_non_negative", (F.col("trip_distance") >= 0) & ~F.isnan("trip_distance")),
         Rule("distance_max", F.col("trip_distance") <= rules.max_distance),
     ]
 
@@ -82,7 +83,7 @@ def add_duration_minutes(df: DataFrame, start: str, end: str, name: str = "trip_
 
 def valid_measurements(df: DataFrame, value: str = "value") -> DataFrame:
     """Keep measurements with a non-NULL, non-negative value."""
-    return df.filter(F.col(value).isNotNull() & (F.col(value) >= 0))
+    return df.filter(F.col(value).isNotNull() & (F.col(value) >= 0) & ~F.isnan(value))
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:

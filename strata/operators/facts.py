@@ -1,8 +1,7 @@
 """Gold facts and their month cuts.
 
-Sums of money and averages of durations are computed exactly in fixed-point
-units (see ``functions.fixedpoint``): cents for money, hundredths of a minute for
-durations, ten-thousandths for sensor values.  The hash aggregates are
+Sums and averages are exact and rounded once at the end (see
+``functions.fixedpoint``): source values keep their decimals until then.  The hash aggregates are
 partial + final, so a hot key contributes one row per task to the shuffle.
 """
 
@@ -12,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
-from ..functions.fixedpoint import exact_round_avg, exact_round_ratio, exact_round_sum, to_units, units_sum, units_to_double
+from ..functions.fixedpoint import SOURCE_SCALE, exact_round_avg, exact_round_ratio, exact_round_sum, to_units, units_sum, units_to_double
 
-MONEY_SCALE = 2  # money columns are in cents
+MONEY_SCALE = 2  # decimals of the fact's own money and distance sums
 DURATION_SCALE = 2  # trip_duration_minutes is rounded to 2 digits in silver
-VALUE_SCALE = 4  # sensor values are reported to 4 digits
+VALUE_SCALE = 4  # decimals of the fact's own means
 
 
 def fact_taxi_daily(silver_trips: DataFrame) -> DataFrame:
@@ -33,10 +32,10 @@ def fact_taxi_daily(silver_trips: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).cast("int").alias("trip_count"),
             F.sum("passenger_count").cast("bigint").alias("total_passengers"),
-            exact_round_sum("trip_distance", MONEY_SCALE, 2).alias("total_distance"),
-            exact_round_sum("fare_amount", MONEY_SCALE, 2).alias("total_fare"),
-            exact_round_sum("tip_amount", MONEY_SCALE, 2).alias("total_tips"),
-            exact_round_sum("total_amount", MONEY_SCALE, 2).alias("total_revenue"),
+            exact_round_sum("trip_distance", SOURCE_SCALE, 2).alias("total_distance"),
+            exact_round_sum("fare_amount", SOURCE_SCALE, 2).alias("total_fare"),
+            exact_round_sum("tip_amount", SOURCE_SCALE, 2).alias("total_tips"),
+            exact_round_sum("total_amount", SOURCE_SCALE, 2).alias("total_revenue"),
             exact_round_avg("trip_duration_minutes", DURATION_SCALE, 2).alias("avg_trip_duration"),
         )
         .withColumn("date_key", date_key("year", "month", "day"))
@@ -44,7 +43,7 @@ def fact_taxi_daily(silver_trips: DataFrame) -> DataFrame:
 
 
 def fact_air_quality_daily(silver_measurements: DataFrame) -> DataFrame:
-    """One row per (day, location, parameter, unit); values rounded to 4 digits."""
+    """One row per (day, location, parameter, unit); means rounded to 4 digits at the end."""
     v = F.col("value")
     return (
         silver_measurements.groupBy(
@@ -58,7 +57,7 @@ def fact_air_quality_daily(silver_measurements: DataFrame) -> DataFrame:
         )
         .agg(
             F.count(F.lit(1)).cast("int").alias("measurement_count"),
-            exact_round_avg(v, VALUE_SCALE, 4).alias("avg_value"),
+            exact_round_avg(v, SOURCE_SCALE, 4).alias("avg_value"),
             F.round(F.min(v), 4).alias("min_value"),
             F.round(F.max(v), 4).alias("max_value"),
         )

@@ -3,30 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# A broadcast hint is only given for a side whose row count has a proven upper
-# bound below this limit (calendar days/months/years, a fixed zone lookup).
-BROADCAST_ROW_LIMIT = 1_000_000
 
-
-def join_dimension(
-    left: DataFrame,
-    dim: DataFrame,
-    on: Column | str | list[str],
-    how: str = "left",
-    bounded_rows: int | None = None,
-) -> DataFrame:
+def join_dimension(left: DataFrame, dim: DataFrame, on: Column | str | list[str], how: str = "left") -> DataFrame:
     """Join ``left`` to a dimension-like frame.
 
-    ``bounded_rows`` is the caller's proven upper bound on the dimension's rows
-    (e.g. 12 x years for a month table).  Only with such a bound below
-    ``BROADCAST_ROW_LIMIT`` is the dimension hinted for broadcast.  Without it the
-    choice is left to Catalyst's size estimate and to AQE, which converts the
-    shuffle join to a broadcast join at run time when the measured side is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps the sort-merge
-    join (with skew splitting) otherwise.
+    No side is hinted: Catalyst's size estimate and AQE's measured sizes choose, a broadcast
+    below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and a sort-merge join with skew
+    splitting otherwise.
     """
-    if bounded_rows is not None and bounded_rows <= BROADCAST_ROW_LIMIT:
-        dim = F.broadcast(dim)
     return left.join(dim, on, how)

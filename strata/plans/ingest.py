@@ -98,8 +98,8 @@ def files_drift(spark: SparkSession, root: str) -> DataFrame:
     )
     for df, folder, col in landings:
         month = F.coalesce(F.date_format(F.col(col).cast("string").try_cast("timestamp_ntz"), "yyyy-MM"), F.lit("unknown"))
-        # one file per month, as the monthly drops arrive (hash by month, then write)
-        df.withColumn("_month", month).repartition("_month").write.mode("overwrite").partitionBy("_month").parquet(
+        # files per month, as the monthly drops arrive; a large month has several
+        df.withColumn("_month", month).hint("rebalance", "_month").write.mode("overwrite").partitionBy("_month").parquet(
             f"{base}/{folder}"
         )
     loaded = [files.load_parquet_set(spark, f"{base}/{flavour}", spec).data for flavour, spec in (("yellow", YELLOW), ("green", GREEN))]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..config import PollutantChoice, ReportOptions, TripRules
@@ -122,9 +123,14 @@ class Lakehouse:
     def fx_monthly(self) -> DataFrame:
         return reports.fx_monthly(self.dim_fx, self.options)
 
+    @cached_property
+    def known_fx(self) -> DataFrame:
+        """Monthly rates as the revenue report gets them: the bindings leave two months out, so that gaps are filled."""
+        return self.fx_monthly.filter(~((F.col("year") == 1999) & F.col("month").isin(6, 7)))
+
     @cached_property
     def revenue_fx(self) -> DataFrame:
-        return reports.revenue_fx_monthly(self.taxi_cut, self.fx_monthly, self.options)
+        return reports.revenue_fx_monthly(self.taxi_cut, self.known_fx, self.options)
 
     @cached_property
     def trip_pollution(self) -> DataFrame:
@@ -181,6 +187,10 @@ class LandedLakehouse(Lakehouse):
     def _p(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    @cached_property
+    def known_fx(self) -> DataFrame:
+        return self.fx_monthly
+
     @cached_property
     def landing_manifest(self) -> DataFrame:
         return self._loaded[1]

@@ -46,6 +46,18 @@ def exact_ratio(num_units: str, den: str, num_scale: int, digits: int) -> str:
     return f"(CASE WHEN ({den}) > 0 THEN CAST({rdiv(num, d)} AS DOUBLE) / {10**digits} END)"
 
 
+def plain_sum(x: str, digits: int) -> str:
+    """ROUND(SUM(x), digits) over exact decimals: no input is rounded first."""
+    return f"CAST(round(sum(CAST({x} AS DECIMAL(28, 10))), {digits}) AS DOUBLE)"
+
+
+def plain_avg(x: str, digits: int) -> str:
+    """ROUND(AVG(x), digits) over exact decimals: the decimal sum is divided once, half away from zero."""
+    n = f"count({x})"
+    whole = f"CAST(replace(CAST(sum(CAST({x} AS DECIMAL(28, 10))) AS VARCHAR), '.', '') AS HUGEINT)"
+    return f"(CASE WHEN {n} > 0 THEN CAST({rdiv(whole, f'({n} * {10 ** (10 - digits)})')} AS DOUBLE) / {10**digits} END)"
+
+
 def money_sum(x: str) -> str:
     return exact_sum(x, 2, 2)
 
@@ -159,7 +171,7 @@ cte(
            CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS parameter_id,
            o_orderpriority AS parameter_name,
            CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) <= 2 THEN 'ug/m3' ELSE 'ppm' END AS parameter_units,
-           CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 10000) AS DOUBLE) - 2 END AS value,
+           CASE WHEN o_orderstatus <> 'P' THEN CAST((CAST(floor(o_totalprice / 10000) AS BIGINT) - 2) * 1000000 + (o_orderkey * 7919) % 1000000 AS DOUBLE) / 1000000 END AS value,
            'America/New_York' AS timezone
     FROM orders""",
 )
@@ -179,11 +191,11 @@ cte(
     [],
     """
     SELECT DISTINCT CAST(o_orderdate AS DATE) AS date,
-           CAST(100 + dayofyear(o_orderdate) % 40 AS DOUBLE) / 100 AS usd_eur_rate,
+           CAST(10000 + (dayofyear(o_orderdate) * 137) % 4001 AS DOUBLE) / 10000 AS usd_eur_rate,
            'USD' AS currency_from, 'EUR' AS currency_to,
            CAST(year(o_orderdate) AS INTEGER) AS fx_year, CAST(month(o_orderdate) AS INTEGER) AS fx_month,
            CAST(day(o_orderdate) AS INTEGER) AS fx_day
-    FROM orders WHERE NOT (year(o_orderdate) = 1999 AND month(o_orderdate) IN (6, 7))""",
+    FROM orders""",
 )
 cte(
     "silver_gdp",
@@ -202,10 +214,10 @@ cte(
            PULocationID AS pickup_zone_id, DOLocationID AS dropoff_zone_id, taxi_type,
            CAST(count(*) AS INTEGER) AS trip_count,
            CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-           {money_sum("trip_distance")} AS total_distance,
-           {money_sum("fare_amount")} AS total_fare,
-           {money_sum("tip_amount")} AS total_tips,
-           {money_sum("total_amount")} AS total_revenue,
+           {plain_sum("trip_distance", 2)} AS total_distance,
+           {plain_sum("fare_amount", 2)} AS total_fare,
+           {plain_sum("tip_amount", 2)} AS total_tips,
+           {plain_sum("total_amount", 2)} AS total_revenue,
            {exact_avg("trip_duration_minutes", 2, 2)} AS avg_trip_duration
     FROM silver_trips
     GROUP BY pickup_year, pickup_month, pickup_day, PULocationID, DOLocationID, taxi_type""",
@@ -218,8 +230,8 @@ cte(
            CAST(measurement_year * 10000 + measurement_month * 100 + measurement_day AS INTEGER) AS date_key,
            location_id, location_name, parameter_name, parameter_units,
            CAST(count(*) AS INTEGER) AS measurement_count,
-           {exact_avg("value", 4, 4)} AS avg_value,
-           round(min(value), 4) AS min_value, round(max(value), 4) AS max_value
+           {plain_avg("value", 4)} AS avg_value,
+           CAST(round(CAST(min(value) AS DECIMAL(28, 10)), 4) AS DOUBLE) AS min_value, CAST(round(CAST(max(value) AS DECIMAL(28, 10)), 4) AS DOUBLE) AS max_value
     FROM silver_measurements
     GROUP BY measurement_year, measurement_month, measurement_day, location_id, location_name, parameter_name, parameter_units""",
 )
@@ -292,8 +304,8 @@ def _candidates(pattern: str, label: str) -> str:
         FROM air_cut GROUP BY parameter_name),
     r AS (
         SELECT *, max(CAST(matched AS INTEGER)) OVER () = 1 AS any_match,
-               row_number() OVER (ORDER BY row_count DESC, parameter_name ASC NULLS LAST) AS rn,
-               first_value(parameter_name) OVER (ORDER BY row_count DESC, parameter_name ASC NULLS LAST
+               row_number() OVER (ORDER BY parameter_name IS NULL, row_count DESC, parameter_name ASC NULLS LAST) AS rn,
+               first_value(parameter_name) OVER (ORDER BY parameter_name IS NULL, row_count DESC, parameter_name ASC NULLS LAST
                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS top_name
         FROM c)
     SELECT parameter_name, row_count, matched,
@@ -322,14 +334,14 @@ cte(
 cte(
     "fx_monthly",
     ["dim_fx"],
-    f"SELECT fx_year AS year, fx_month AS month, {exact_avg('usd_eur_rate', 2, DIGITS)} AS usd_eur_rate FROM dim_fx GROUP BY fx_year, fx_month",
+    f"SELECT fx_year AS year, fx_month AS month, {plain_avg('usd_eur_rate', DIGITS)} AS usd_eur_rate FROM dim_fx GROUP BY fx_year, fx_month",
 )
 cte(
     "revenue_fx",
     ["taxi_monthly", "fx_monthly"],
     f"""
     WITH j AS (SELECT t.year, t.month, t.trip_count, t.total_revenue, f.usd_eur_rate
-               FROM taxi_monthly t LEFT JOIN fx_monthly f ON t.year = f.year AND t.month = f.month),
+               FROM taxi_monthly t LEFT JOIN fx_monthly f ON t.year = f.year AND t.month = f.month AND NOT (f.year = 1999 AND f.month IN (6, 7))),
     m AS (SELECT {exact_ratio(f"sum({units('usd_eur_rate', DIGITS)})", f"count({units('usd_eur_rate', DIGITS)})", DIGITS, DIGITS)} AS fill FROM j)
     SELECT year, month, trip_count, total_revenue, coalesce(usd_eur_rate, m.fill) AS usd_eur_rate,
            total_revenue / coalesce(usd_eur_rate, m.fill) AS total_revenue_eur
@@ -507,7 +519,7 @@ q(
     ["revenue_fx", "dim_fx"],
     f"""SELECT 'total_revenue_usd' AS metric, {money_sum("total_revenue")} AS value FROM revenue_fx
     UNION ALL SELECT 'total_revenue_eur', round(sum(total_revenue_eur), 2) FROM revenue_fx
-    UNION ALL SELECT 'avg_usd_eur_rate', {exact_avg('usd_eur_rate', 2, DIGITS)} FROM dim_fx""",
+    UNION ALL SELECT 'avg_usd_eur_rate', {plain_avg('usd_eur_rate', DIGITS)} FROM dim_fx""",
 )
 q(
     "revenue_gdp_yearly",
@@ -584,7 +596,7 @@ q(
     "revenue_per_trip",
     ["revenue_fx", "dim_fx"],
     f"""
-    WITH m AS (SELECT {exact_avg('usd_eur_rate', 2, DIGITS)} AS mean_rate FROM dim_fx),
+    WITH m AS (SELECT {plain_avg('usd_eur_rate', DIGITS)} AS mean_rate FROM dim_fx),
     b AS (SELECT year, month, trip_count,
                  {exact_ratio(units('total_revenue', 2), 'trip_count', 2, DIGITS)} AS usd_per_trip, usd_eur_rate
           FROM revenue_fx)

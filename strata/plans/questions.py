@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PollutantChoice, ReportOptions
-from ..functions.fixedpoint import exact_round_avg, exact_round_ratio
+from ..functions.fixedpoint import SOURCE_SCALE, exact_round_avg, exact_round_ratio
 from ..functions.stats import corr_band, pct_change, safe_corr
 from ..operators.facts import MONEY_SCALE, VALUE_SCALE
 from ..operators.joins import join_dimension
 from . import reports
 
-DAYS_BOUND = 366 * 200  # calendar days in any realistic date range: a proven bound
 
 
 def daily_pollutant(fact_air: DataFrame, air_cut: DataFrame, choice: PollutantChoice, digits: int) -> DataFrame:
@@ -28,7 +27,7 @@ def daily_corr(fact_taxi: DataFrame, fact_air: DataFrame, air_cut: DataFrame, op
     """Q01: correlation of daily trips with the daily pollutant level."""
     trips = fact_taxi.groupBy("date_key").agg(F.sum("trip_count").cast("bigint").alias("trip_count"))
     pol = daily_pollutant(fact_air, air_cut, opts.pollutant, opts.digits)
-    j = join_dimension(trips, pol, "date_key", "inner", bounded_rows=DAYS_BOUND)
+    j = join_dimension(trips, pol, "date_key", "inner")
     return j.agg(
         F.round(safe_corr("trip_count", "pollutant"), 6).alias("correlation"),
         F.count(F.lit(1)).alias("n_days"),
@@ -55,7 +54,7 @@ def zone_hour_link(
         .groupBy("dimension", "key", "date_key")
         .agg(F.count(F.lit(1)).alias("trips"))
     )
-    j = join_dimension(daily, pol, "date_key", "inner", bounded_rows=DAYS_BOUND)
+    j = join_dimension(daily, pol, "date_key", "inner")
     both = j.groupBy("dimension", "key").agg(
         F.round(safe_corr("trips", "pollutant"), 6).alias("correlation"),
         F.count(F.lit(1)).alias("n_days"),
@@ -68,7 +67,7 @@ def zone_hour_link(
 def revenue_per_trip(revenue_fx: DataFrame, dim_fx: DataFrame, opts: ReportOptions = ReportOptions()) -> DataFrame:
     """Q03: revenue per trip in USD and EUR per month, and the exchange-rate effect
     (EUR at the month's rate minus EUR at the period's mean daily rate)."""
-    mean_rate = dim_fx.agg(exact_round_avg("usd_eur_rate", 2, opts.digits)).scalar()
+    mean_rate = dim_fx.agg(exact_round_avg("usd_eur_rate", SOURCE_SCALE, opts.digits)).scalar()
     usd_units = F.rint(F.col("total_revenue") * 100).cast("long")
     per_trip = exact_round_ratio(usd_units, F.col("trip_count"), MONEY_SCALE, opts.digits)
     return (

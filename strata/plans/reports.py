@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import PollutantChoice, ReportOptions
 from ..functions.dates import year_month_label
-from ..functions.fixedpoint import exact_round_avg, exact_round_ratio, units_sum, units_to_double
+from ..functions.fixedpoint import SOURCE_SCALE, exact_round_avg, exact_round_ratio, units_sum, units_to_double
 from ..functions.stats import corr_band, pct_change, safe_corr, sign_flag
 from ..operators.facts import MONEY_SCALE
 from ..operators.joins import join_dimension
@@ -145,7 +145,8 @@ def pollutant_candidates(air_cut: DataFrame, choice: PollutantChoice) -> DataFra
         )
     )
     everything = Window.partitionBy()
-    by_freq = Window.partitionBy().orderBy(F.col("row_count").desc(), F.col("parameter_name").asc_nulls_last())
+    # a missing name is never the most frequent one
+    by_freq = Window.partitionBy().orderBy(F.col("parameter_name").isNull(), F.col("row_count").desc(), F.col("parameter_name").asc_nulls_last())
     any_match = F.max(F.col("matched").cast("int")).over(everything) == 1
     first = F.row_number().over(by_freq) == 1
     selected = F.when(any_match, F.col("matched")).otherwise(first & F.col("parameter_name").isNotNull())
@@ -257,13 +258,10 @@ def trips_seasonal(taxi_cut: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- R08 economic
 
-FX_SCALE = 2  # rates carry at most this many decimals in the source
-
-
 def fx_monthly(dim_fx: DataFrame, opts: ReportOptions = ReportOptions()) -> DataFrame:
     """Monthly mean rate (computed once and shared by its users)."""
     return dim_fx.groupBy(F.col("fx_year").alias("year"), F.col("fx_month").alias("month")).agg(
-        exact_round_avg("usd_eur_rate", FX_SCALE, opts.digits).alias("usd_eur_rate")
+        exact_round_avg("usd_eur_rate", SOURCE_SCALE, opts.digits).alias("usd_eur_rate")
     )
 
 
@@ -273,8 +271,7 @@ def revenue_fx_monthly(taxi_cut: DataFrame, fxm: DataFrame, opts: ReportOptions
     Months without a rate get the mean of the monthly rates that did join
     (mean over the report rows, not over the FX table).  EUR = USD / rate.
     """
-    # fx_monthly is grouped by (year, month): one row per calendar month, a proven bound
-    j = join_dimension(taxi_monthly_totals(taxi_cut), fxm, ["year", "month"], "left", bounded_rows=12 * 200)
+    j = join_dimension(taxi_monthly_totals(taxi_cut), fxm, ["year", "month"], "left")
     everything = Window.partitionBy()
     u = F.rint(F.col("usd_eur_rate") * 10**opts.digits).cast("long")
     fill = exact_round_ratio(F.sum(u).over(everything), F.count(u).over(everything), opts.digits, opts.digits)
@@ -300,7 +297,7 @@ def economic_kpis(revenue_fx: DataFrame, dim_fx_df: DataFrame, opts: ReportOptio
             )
         ).alias("m")
     ).select("m.metric", "m.value")
-    rate = dim_fx_df.agg(exact_round_avg("usd_eur_rate", FX_SCALE, opts.digits).alias("value"))
+    rate = dim_fx_df.agg(exact_round_avg("usd_eur_rate", SOURCE_SCALE, opts.digits).alias("value"))
     return totals.unionByName(rate.select(F.lit("avg_usd_eur_rate").alias("metric"), "value"))
 
 

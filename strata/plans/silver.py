@@ -49,13 +49,8 @@ def trip_reject_counts(
     the number of rows passing every rule, ``input_rows`` the number read.
     """
     std = union_all([standardize(df, spec, case_sensitive) for df, spec in frames])
-    row_rules = cleanse.trip_rules(rules)
-    dur = F.round((F.unix_timestamp("dropoff_datetime") - F.unix_timestamp("pickup_datetime")) / 60.0, 2)
-    dur_rules = [
-        cleanse.Rule("duration_positive", dur > 0),
-        cleanse.Rule("duration_max", dur <= rules.max_duration_minutes),
-    ]
-    all_rules = row_rules + dur_rules
+    std = cleanse.add_duration_minutes(std, "pickup_datetime", "dropoff_datetime")
+    all_rules = cleanse.trip_rules(rules) + cleanse.duration_rules(rules)
     keep = None
     for r in all_rules:
         keep = r.predicate if keep is None else keep & r.predicate
@@ -68,7 +63,7 @@ def trip_reject_counts(
 
 def silver_measurements(bronze: DataFrame) -> DataFrame:
     """Date parts, value filter, whole-row de-duplication."""
-    df = bronze.withColumn("measurement_date", F.to_date(F.col("date")))
+    df = bronze.withColumn("measurement_date", F.col("date").try_cast("date"))
     df = cleanse.add_calendar(df, "measurement_date", "measurement", with_hour=False)
     df = cleanse.valid_measurements(df)
     return cleanse.dedup_rows(df)
@@ -88,7 +83,7 @@ def silver_gdp(bronze: DataFrame) -> DataFrame:
 def silver_fx(bronze: DataFrame) -> DataFrame:
     """R03 (FX): typed date and rate, currency names, date parts, de-duplication."""
     df = bronze.select(
-        F.to_date(F.col("TIME_PERIOD")).alias("date"),
+        F.col("TIME_PERIOD").try_cast("date").alias("date"),
         F.col("OBS_VALUE").try_cast("double").alias("usd_eur_rate"),
         F.col("CURRENCY").alias("currency_from"),
         F.col("CURRENCY_DENOM").alias("currency_to"),

@@ -20,7 +20,7 @@ BASE_CONF = {
 
 def get_session(
     master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "strata",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
@@ -34,7 +34,8 @@ def get_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor; the 1 GB default heap
         # makes long sessions spend their time in GC
@@ -44,7 +45,8 @@ def get_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        spark.conf.set(k, conf[k])
+        if k in conf:
+            spark.conf.set(k, conf[k])
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -61,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="strata-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", path)

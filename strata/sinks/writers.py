@@ -16,11 +16,13 @@ from ..schemas import SchemaMismatchError, same_schema
 
 
 def _exists(spark: SparkSession, path: str, fmt: str) -> bool:
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018 - footer/metadata only
-        return True
-    except Exception:  # noqa: BLE001 - absent or empty location
+    """Whether there is a table: only a missing or empty location says no, any other error is raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target) or not len(fs.listStatus(target)):
         return False
+    spark.read.format(fmt).load(path).schema  # noqa: B018 - an unreadable table must not be replaced
+    return True
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", allow_schema_change: bool = True, partition_by: list[str] | None = None) -> None:
@@ -57,10 +59,19 @@ def write_mapped(df: DataFrame, path: str, mapping: dict[str, str], fmt: str = "
 
 
 def create_table_as(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet", location: str | None = None) -> DataFrame:
-    """``CREATE TABLE name USING fmt [LOCATION path] AS SELECT ...`` (replaces it)."""
+    """``CREATE TABLE name USING fmt [LOCATION path] AS SELECT ...`` (replaces it).
+
+    The select is planned before the old table goes, and without a location the new table is complete before.
+    """
+    spark.sql(select_sql).schema  # noqa: B018 - a select that cannot be planned leaves the old table
+    if location:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}' AS {select_sql}")
+        return spark.table(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}__new")
+    spark.sql(f"CREATE TABLE {name}__new USING {fmt} AS {select_sql}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {name} USING {fmt}{loc} AS {select_sql}")
+    spark.sql(f"ALTER TABLE {name}__new RENAME TO {name}")
     return spark.table(name)
 
 

@@ -16,8 +16,8 @@ Binding (the mapping is ours; only the target column names are fixed values):
 * measurements <- orders: station = o_custkey mod 7 + 1, parameter =
   o_orderpriority, value = floor(o_totalprice / 10000) - 2 (NULL for status 'P').
 * locations <- customer stations (same station id rule).
-* FX <- distinct order dates, rate = (100 + dayofyear mod 40) / 100, months
-  1999-06 and 1999-07 left out so that month gaps exist.
+* FX <- distinct order dates, a rate of four decimals from the day of the year;
+  the revenue report leaves out 1999-06 and 1999-07 so that month gaps exist.
 * GDP <- orders x customer x nation: yearly sum of o_totalprice per nation name.
 * zones <- nation x region.
 """
@@ -27,14 +27,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import load, spread
+from .tables import load
 
 TRIP_DATE_FROM = "1996-01-01"
 TRIP_DATE_TO = "2001-01-01"
 
 
 def _trip_base(spark: SparkSession, root: str, linestatus: str) -> DataFrame:
-    li = spread(load(spark, root, "lineitem")).filter(F.col("l_linestatus") == linestatus)
+    li = load(spark, root, "lineitem").filter(F.col("l_linestatus") == linestatus)
     sup = load(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     # supplier is a dimension; Catalyst/AQE broadcast it only while its measured
     # size is under the broadcast threshold, sort-merge join otherwise.
@@ -109,13 +109,13 @@ def green_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 def measurements_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Flat daily sensor readings, the 12-column bronze measurement shape (P18 output)."""
-    o = spread(load(spark, root, "orders"))
+    o = load(spark, root, "orders")
     loc = (F.pmod(F.col("o_custkey"), F.lit(7)) + 1).cast("long")
     pid = F.substring("o_orderpriority", 1, 1).cast("long")
     utc = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00Z"))
-    value = F.when(
-        F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 10000).cast("double") - 2
-    )
+    # six decimals, so that a mean of rounded readings differs from the rounded mean
+    micro = (F.floor(F.col("o_totalprice") / 10000).cast("long") - 2) * 1_000_000 + F.pmod(F.col("o_orderkey") * 7919, F.lit(1_000_000))
+    value = F.when(F.col("o_orderstatus") != "P", micro.cast("double") / 1_000_000)
     return o.select(
         F.substring(utc, 1, 10).alias("date"),
         utc.alias("datetime_utc"),
@@ -136,8 +136,8 @@ def fx_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Exchange-rate CSV shape (the used columns of the 32), one row per order."""
     o = load(spark, root, "orders")
     d = F.to_date("o_orderdate")
-    rate = (F.lit(100) + F.pmod(F.dayofyear(d), F.lit(40))).cast("double") / 100
-    return o.filter(~((F.year(d) == 1999) & F.month(d).isin(6, 7))).select(
+    rate = (F.lit(10000) + F.pmod(F.dayofyear(d) * 137, F.lit(4001))).cast("double") / 10000
+    return o.select(
         F.lit("EXR.D.USD.EUR.SP00.A").alias("KEY"),
         F.lit("D").alias("FREQ"),
         F.lit("USD").alias("CURRENCY"),
@@ -298,7 +298,7 @@ def fx_csv_lines(spark: SparkSession, root: str) -> DataFrame:
         "EXR_TYPE": F.lit("SP00"),
         "EXR_SUFFIX": F.lit("A"),
         "TIME_PERIOD": F.col("TIME_PERIOD"),
-        "OBS_VALUE": F.when(F.substring("TIME_PERIOD", 9, 2) != "13", F.format_string("%.2f", F.col("OBS_VALUE"))).otherwise(F.lit("")),
+        "OBS_VALUE": F.when(F.substring("TIME_PERIOD", 9, 2) != "13", F.format_string("%.4f", F.col("OBS_VALUE"))).otherwise(F.lit("")),
         "OBS_STATUS": F.lit("A"),
         "OBS_CONF": F.lit("F"),
         "TIME_FORMAT": F.lit("P1D"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,7 @@ def probe_schemas(files: DataFrame) -> DataFrame:
 
     def probe(batches):
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.parquet as pq
 
         for pdf in batches:
@@ -62,8 +64,13 @@ def probe_schemas(files: DataFrame) -> DataFrame:
                 try:
                     sch = pq.read_schema(local)
                     out.append((p, sch.to_string(show_schema_metadata=False), None))
-                except Exception as e:  # noqa: BLE001 - any unreadable footer rejects the file
-                    out.append((p, None, f"{type(e).__name__}: {str(e)[:200]}"))
+                except pa.ArrowNotImplementedError:
+                    raise
+                except (pa.ArrowInvalid, pa.ArrowException, ValueError, FileNotFoundError) as e:
+                    # a scheme that the executors cannot open says nothing about the file
+                    if "filesystem" in str(e) or "://" in local:
+                        raise RuntimeError(f"executors cannot open {p}: {e}") from e
+                    out.append((p, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["path", "schema_json", "error"])
 
     return files.select("path").mapInPandas(probe, MANIFEST_SCHEMA)
@@ -103,7 +110,7 @@ def load_parquet_set(
         try:
             frames.append(standardize(spark.read.parquet(*paths), spec, case_sensitive))
             manifest_rows += [(p, "accepted", None) for p in paths]
-        except MissingColumnError as e:
+        except (MissingColumnError, AnalysisException) as e:  # of this schema alone: the others are still read
             manifest_rows += [(p, "rejected", str(e)) for p in paths]
     bad = probed.filter(F.col("error").isNotNull()).select("path", F.lit("rejected").alias("status"), F.col("error").alias("reason"))
     good = spark.createDataFrame(manifest_rows, "path string, status string, reason string")

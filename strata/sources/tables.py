@@ -22,20 +22,3 @@ def register_views(spark: SparkSession, root: str, names: list[str]) -> None:
     """Expose tables as temp views so reports can be written in SQL."""
     for n in names:
         load(spark, root, n).createOrReplaceTempView(n)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a narrow, CPU-heavy pipeline enough tasks when its scan is under-split.
-
-    A parquet file is split by row group; a small file written as one row group
-    is read by a single task however many cores there are.  Only when the scan
-    yields fewer partitions than the cluster's task slots are rows redistributed
-    (round-robin, so no key can skew it).  At production scale a scan has
-    thousands of splits and this returns ``df`` unchanged, adding no shuffle.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    return df.repartition(slots) if splits < slots else df
