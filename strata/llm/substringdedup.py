@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .hashing import word_bounds, word_hashes
+from .hashing import word_hashes
 from .spans import ID_LAST, merged, repeated_spans, with_spans
 from .storage import materialize, table
 
@@ -38,8 +38,8 @@ def word_tokens(data: bytes) -> np.ndarray:
 
 
 def text_words(data: bytes) -> list[bytes]:
-    _, s, e = word_bounds(data)
-    return [data[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]
+    """Words as ``hashing.word_bounds`` cuts them: bytes are split at ASCII white space alone."""
+    return data.split()
 
 
 def word_ranges(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
