@@ -147,9 +147,12 @@ class Restorer:
     def words(self, text: str) -> set[str]:
         low = text.lower()
         out: set[str] = set()
-        for w in set(WORD.findall(low)):
+        written = set(WORD.findall(low))
+        for w in written:
             out.update(self.word(w))
-        for m in SPACED.finditer(low):
+        # letters set apart are words of one letter, or stand between fillers
+        alone = sum([len(w) == 1 for w in written]) > 1 or any("-" in w or "_" in w or "." in w[1:-1] for w in written if not w.isalpha())
+        for m in SPACED.finditer(low) if alone else ():
             joined = re.sub(r"[ .\-_]", "", m.group())
             out.add(joined if joined.isalpha() else self.model.decode(joined))
         return out
