@@ -161,8 +161,9 @@ def near_pairs(classes: DataFrame) -> DataFrame:
         pairs = met.filter("cluster != pivot_cluster").select("node", "pivot").distinct()
         both = pairs.join(sigs, "node").join(sigs.select(F.col("node").alias("pivot"), F.col("sig").alias("sig2")), "pivot")
         near = materialize(both.filter(agree("sig", "sig2") >= NEAR).select(F.col("node").alias("a"), F.col("pivot").alias("b")), f"near-pairs-{turn}")
-        found = near if found is None else found.unionByName(near)
-        cluster = components(found).withColumnRenamed("root", "now")
+        cluster = components(near if found is None else found.unionByName(near)).withColumnRenamed("root", "now")
+        # an edge to its root for each node stands for all pairs found so far
+        found = cluster.filter("node != now").select(F.col("node").alias("a"), F.col("now").alias("b"))
         rows = met.select("key", "node", "support", "pivot").join(cluster, "node", "left").withColumn("cluster", F.coalesce("now", "node"))
         if turn < TURNS - 1:
             top = cluster.select(F.col("node").alias("pivot"), F.col("now").alias("pivot_now"))
