@@ -109,7 +109,7 @@ def files_drift(spark: SparkSession, root: str) -> DataFrame:
 def sink_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Write the gold tables (schema-checked), append
     one of them twice, read everything back and count rows per table."""
-    lh = Lakehouse(spark, root)
+    lh = Lakehouse(spark, root).with_written_fact()
     base = scratch_path(spark, "gold")
     gold = {
         "FactTaxiDaily": lh.fact_taxi,

@@ -144,16 +144,13 @@ def pollutant_candidates(air_cut: DataFrame, choice: PollutantChoice) -> DataFra
             F.coalesce(F.lower(F.col("parameter_name")).rlike(choice.pattern), F.lit(False)),
         )
     )
-    everything = Window.partitionBy()
     # a missing name is never the most frequent one
-    by_freq = Window.partitionBy().orderBy(F.col("parameter_name").isNull(), F.col("row_count").desc(), F.col("parameter_name").asc_nulls_last())
-    any_match = F.max(F.col("matched").cast("int")).over(everything) == 1
-    first = F.row_number().over(by_freq) == 1
-    selected = F.when(any_match, F.col("matched")).otherwise(first & F.col("parameter_name").isNotNull())
-    label = F.when(any_match, F.lit(choice.label)).otherwise(
-        F.first(F.col("parameter_name")).over(by_freq.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    )
-    return counts.select("parameter_name", "row_count", "matched", selected.alias("selected"), label.alias("label"))
+    rank = F.when(F.col("parameter_name").isNotNull(), F.struct(-F.col("row_count"), F.col("parameter_name")))
+    pick = counts.agg(F.struct(F.bool_or("matched").alias("any"), F.min_by("parameter_name", rank).alias("first")).alias("pick")).scalar()
+    picked = counts.select("*", pick.alias("pick"))
+    selected = F.when(F.col("pick.any"), F.col("matched")).otherwise(F.col("parameter_name").eqNullSafe(F.col("pick.first")) & F.col("parameter_name").isNotNull())
+    label = F.when(F.col("pick.any"), F.lit(choice.label)).otherwise(F.col("pick.first"))
+    return picked.select("parameter_name", "row_count", "matched", selected.alias("selected"), label.alias("label"))
 
 
 def pollutant_frame(air_cut: DataFrame, choice: PollutantChoice) -> DataFrame:
@@ -325,9 +322,18 @@ def revenue_gdp_yearly(revenue_fx: DataFrame, dim_gdp: DataFrame, opts: ReportOp
 # ----------------------------------------------------------------- R09 summary
 
 
-def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    """A24 + A30: one (table_name, row_count) row per table, as a union of counts."""
-    arms = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in frames.items()]
+def row_counts(frames: dict[str, DataFrame | tuple[DataFrame, str]]) -> DataFrame:
+    """A24 + A30: one (table_name, row_count) row per table, as a union of counts.
+
+    A (frame, column) pair gives the count of a table that the frame aggregates: the sum of the column.
+    """
+
+    def arm(name: str, of: DataFrame | tuple[DataFrame, str]) -> DataFrame:
+        df, counted = of if isinstance(of, tuple) else (of, None)
+        count = F.coalesce(F.sum(counted), F.lit(0)).cast("bigint") if counted else F.count(F.lit(1))
+        return df.agg(count.alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+
+    arms = [arm(n, of) for n, of in frames.items()]
     out = arms[0]
     for a in arms[1:]:
         out = out.unionByName(a)

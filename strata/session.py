@@ -76,8 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (never machine-local on a
-    cluster): used for landed copies and materialised tables."""
+    cluster): used for landed copies and materialised tables.  It goes when the session ends."""
     import uuid
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path

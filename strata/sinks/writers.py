@@ -93,7 +93,7 @@ def write_and_reload(df: DataFrame, path: str, fmt: str = "parquet") -> DataFram
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def write_counted(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, int]:
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet", allow_schema_change: bool = True) -> tuple[DataFrame, int]:
     """Write ``df`` and return (the written table, its row count).
 
     The count is an observed metric of the write job itself (A24), so the data
@@ -102,5 +102,5 @@ def write_counted(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataF
     from pyspark.sql import Observation
 
     obs = Observation("rows_written")
-    overwrite(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
+    overwrite(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, allow_schema_change)
     return df.sparkSession.read.format(fmt).load(path), int(obs.get["rows"])

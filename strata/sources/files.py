@@ -104,17 +104,18 @@ def load_parquet_set(
         .collect()
     )
     frames: list[DataFrame] = []
-    manifest_rows: list[tuple[str, str, str | None]] = []
+    verdicts: list[tuple[str, str, str | None]] = []
     for g in groups:
-        paths = list(g["paths"])
         try:
-            frames.append(standardize(spark.read.parquet(*paths), spec, case_sensitive))
-            manifest_rows += [(p, "accepted", None) for p in paths]
+            frames.append(standardize(spark.read.parquet(*g["paths"]), spec, case_sensitive))
+            verdicts.append((g["schema_json"], "accepted", None))
         except (MissingColumnError, AnalysisException) as e:  # of this schema alone: the others are still read
-            manifest_rows += [(p, "rejected", str(e)) for p in paths]
-    bad = probed.filter(F.col("error").isNotNull()).select("path", F.lit("rejected").alias("status"), F.col("error").alias("reason"))
-    good = spark.createDataFrame(manifest_rows, "path string, status string, reason string")
-    manifest = good.unionByName(bad)
+            verdicts.append((g["schema_json"], "rejected", str(e)))
+    # a row per distinct schema joins the probed files; a file without a schema carries its own reason
+    known = spark.createDataFrame(verdicts, "schema_json string, status string, reason string")
+    manifest = probed.join(known, "schema_json", "left").select(
+        "path", F.coalesce("status", F.lit("rejected")).alias("status"), F.coalesce("reason", "error").alias("reason")
+    )
     if not frames:
         empty = spark.createDataFrame([], _empty_schema(spark, spec))
         return LoadResult(empty, manifest)

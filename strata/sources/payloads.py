@@ -152,13 +152,20 @@ def explode_locations(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("results").alias("loc")).select("loc.*")
 
 
-def read_sensor_days(spark: SparkSession, path: str) -> DataFrame:
+def read_sensor_days(spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """Landed per-sensor daily results -> one row per (sensor, day).
 
     A sensor with an empty or missing result list yields no row; a sensor with no
-    file at all simply has nothing to join to.
+    file at all simply has nothing to join to.  ``date_from`` and ``date_to`` (yyyy-MM-dd, both
+    included) keep the days of a window; a reading without a stamp is in no window.
     """
-    return explode_sensor_days(spark.read.schema(SENSOR_DAYS).json(path))
+    days = explode_sensor_days(spark.read.schema(SENSOR_DAYS).json(path))
+    day = F.substring("datetime_utc", 1, 10)
+    if date_from is not None:
+        days = days.filter(day >= date_from)
+    if date_to is not None:
+        days = days.filter(day <= date_to)
+    return days
 
 
 def parse_sensor_days(records: DataFrame, col: str = "value") -> DataFrame:
