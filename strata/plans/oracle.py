@@ -720,3 +720,48 @@ q(
     ["silver_measurements"],
     "SELECT measurement_year, count(*) AS row_count FROM silver_measurements GROUP BY measurement_year ORDER BY measurement_year",
 )
+cte(
+    "event_trips",
+    [],
+    """
+    SELECT ts, CAST(event_id % 5 AS BIGINT) AS pu, CAST(user_id % 5 AS BIGINT) AS dropoff_zone,
+           CASE WHEN event_id % 4 <> 0 THEN event_id % 4 ELSE 1 END AS passengers,
+           CASE WHEN event_id % 499 = 0 THEN 501.0 ELSE CAST(round(value * 100) AS BIGINT) / 100000.0 END AS distance,
+           (CAST(round(value * 100) AS BIGINT) - 500) / 100.0 AS fare, (CAST(round(value * 100) AS BIGINT) % 1000) / 1000.0 AS tip,
+           (CAST(round(value * 100) AS BIGINT) * 10 - 4667) / 1000.0 AS total, round((45 * (event_id % 300) - 60) / 60.0, 2) AS minutes
+    FROM events""",
+)
+q(
+    "fact_events_daily",
+    ["event_trips"],
+    f"""
+    SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+           CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date_key,
+           pu AS pickup_zone_id, dropoff_zone AS dropoff_zone_id, 'yellow' AS taxi_type,
+           CAST(count(*) AS INTEGER) AS trip_count, CAST(sum(passengers) AS BIGINT) AS total_passengers,
+           {plain_sum("distance", 2)} AS total_distance, {plain_sum("fare", 2)} AS total_fare,
+           {plain_sum("tip", 2)} AS total_tips, {plain_sum("total", 2)} AS total_revenue, {exact_avg("minutes", 2, 2)} AS avg_trip_duration
+    FROM event_trips
+    WHERE ts >= TIMESTAMP '2015-01-01' AND ts < TIMESTAMP '2025-01-01' AND fare >= 0 AND total >= 0
+      AND distance BETWEEN 0 AND 500 AND minutes > 0 AND minutes <= 180
+    GROUP BY ALL""",
+)
+q(
+    "files_rejected",
+    ["trip_base_y"],
+    """
+    SELECT 'current' AS landing, 'accepted' AS status, count(*) AS n_rows FROM trip_base_y
+    UNION ALL SELECT 'mistyped', 'rejected', 0
+    UNION ALL SELECT 'incomplete', 'rejected', 0
+    UNION ALL SELECT 'corrupt', 'rejected', 0""",
+)
+q(
+    "sql_monthly_fares",
+    ["fact_taxi"],
+    """SELECT taxi_type, year, month, CAST(sum(trip_count) AS BIGINT) AS trips, CAST(sum(CAST(total_fare AS DECIMAL(28, 2))) AS DOUBLE) AS fares
+    FROM fact_taxi GROUP BY taxi_type, year, month""",
+)
+# landed files hold the same rows as the parsed text
+for _file, _text in (("zone_csv_file", "zone_csv"), ("fx_csv_file", "fx_csv"), ("gdp_json_file", "gdp_json"), ("locations_file", "locations_flat")):
+    SQL[_file] = SQL[_text]
+SQL["measurements_file"] = f"SELECT * FROM ({SQL['measurements_flat']}) WHERE date BETWEEN '1996-01-01' AND '1997-12-31'"

@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import GREEN, YELLOW
-from ..operators import dims
+from ..operators import dims, facts, standardize
 from ..sources import bindings
-from . import ingest, questions, reports, silver
+from . import ingest, landed, questions, reports, silver
 from .lakehouse import BINDING_FALLBACK, Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,11 @@ def _reject_counts(spark, root):
     )
 
 
+def _fact_events(spark, root):
+    std = standardize.standardize(bindings.event_trips_bronze(spark, root), YELLOW)
+    return schemas.conform(facts.fact_taxi_daily(silver.clean_trips(std)), schemas.FACT_TAXI_DAILY)
+
+
 def _pollutant_pick(spark, root):
     lh = _lh(spark, root)
     a = reports.pollutant_candidates(lh.air_cut, lh.options.pollutant).withColumn(
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "reject_counts": _reject_counts,
     # gold (A01, A02, R04, P20-P22, J05)
     "fact_trips_daily": lambda s, r: _lh(s, r).fact_taxi,
+    "fact_events_daily": _fact_events,
     "fact_measurements_daily": lambda s, r: _lh(s, r).fact_air,
     "dim_date": lambda s, r: _lh(s, r).dim_date,
     "dim_zone": lambda s, r: _lh(s, r).dim_zone,
@@ -143,4 +150,12 @@ QUERIES: dict[str, Query] = {
     "fx_csv": ingest.fx_csv,
     "files_drift": ingest.files_drift,
     "sink_roundtrip": ingest.sink_roundtrip,
+    # landed files and SQL text
+    "files_rejected": landed.files_rejected,
+    "zone_csv_file": landed.zone_csv_file,
+    "fx_csv_file": landed.fx_csv_file,
+    "gdp_json_file": landed.gdp_json_file,
+    "locations_file": landed.locations_file,
+    "measurements_file": landed.measurements_file,
+    "sql_monthly_fares": landed.sql_monthly_fares,
 }

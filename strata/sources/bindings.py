@@ -107,6 +107,35 @@ def green_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def event_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """'Yellow' landing frame from events: about a dozen trips per day and zone pair, amounts of three and
+    distances of five decimals, some dropoffs before their pickup, too long or too far trips and negative fares."""
+    e = load(spark, root, "events")
+    cents = F.rint(F.col("value") * 100).cast("long")
+    none = F.lit(None).cast("double")
+    return e.select(
+        (F.pmod("user_id", F.lit(2)) + 1).cast("long").alias("VendorID"),
+        F.col("ts").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+        F.expr("timestampadd(SECOND, CAST(45 * pmod(event_id, 300) - 60 AS INT), CAST(ts AS TIMESTAMP_NTZ))").alias("tpep_dropoff_datetime"),
+        F.when(F.pmod("event_id", F.lit(4)) != 0, F.pmod("event_id", F.lit(4)).cast("double")).alias("passenger_count"),
+        F.when(F.pmod("event_id", F.lit(499)) == 0, F.lit(501.0)).otherwise(cents / 100000.0).alias("trip_distance"),
+        none.alias("RatecodeID"),
+        F.lit(None).cast("string").alias("store_and_fwd_flag"),
+        F.pmod("event_id", F.lit(5)).cast("long").alias("PULocationID"),
+        F.pmod("user_id", F.lit(5)).cast("long").alias("DOLocationID"),
+        F.lit(1).cast("long").alias("payment_type"),
+        ((cents - 500) / 100.0).alias("fare_amount"),
+        F.lit(0.0).alias("extra"),
+        F.lit(0.0).alias("mta_tax"),
+        (F.pmod(cents, F.lit(1000)) / 1000.0).alias("tip_amount"),
+        F.lit(0.0).alias("tolls_amount"),
+        F.lit(0.333).alias("improvement_surcharge"),
+        ((cents * 10 - 5000 + 333) / 1000.0).alias("total_amount"),
+        none.alias("congestion_surcharge"),
+        none.alias("Airport_fee"),
+    )
+
+
 def measurements_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Flat daily sensor readings, the 12-column bronze measurement shape (P18 output)."""
     o = load(spark, root, "orders")
