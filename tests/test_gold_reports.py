@@ -101,6 +101,15 @@ def test_pollutant_pick_matches_and_falls_back(spark):
     tie = _air(spark, [(2020, 1, "A", "b", 1.0), (2020, 1, "A", "a", 1.0)])
     sel = [r.parameter_name for r in reports.pollutant_candidates(tie, PollutantChoice(pattern="zzz")).collect() if r.selected]
     assert sel == ["a"]
+    # nothing but missing names: nothing is picked
+    none = reports.pollutant_candidates(_air(spark, [(2020, 1, "A", None, 1.0)]), PollutantChoice(pattern="zzz")).collect()
+    assert [(r.selected, r.label) for r in none] == [(False, None)]
+
+
+def test_row_counts_of_rows_and_sums(spark):
+    fact = spark.createDataFrame([(2,), (3,)], "trip_count int")
+    got = {r.table_name: r.row_count for r in reports.row_counts({"fact": fact, "trips": (fact, "trip_count"), "none": (fact.limit(0), "trip_count")}).collect()}
+    assert got == {"fact": 2, "trips": 5, "none": 0}
 
 
 def test_pollutant_reports_mean_of_means(spark):

@@ -95,6 +95,33 @@ def test_locations_box_and_flatten(spark, tmp):
     assert [(r.date, r.value, r.sensor_id, r.parameter_name) for r in m] == [("2020-01-01", -1.0, 10, "pm25"), ("2020-01-02", None, 10, "pm25"), (None, 0.0, 10, "pm25")]
 
 
+def test_sensor_days_window(spark, tmp):
+    stamps = ["2020-01-01T00:00:00Z", "2020-01-02T00:00:00Z", "2020-01-03T00:00:00Z", None]
+    results = [{"value": float(i), "period": {"datetimeFrom": {"utc": s}}} for i, s in enumerate(stamps)]
+    _write(os.path.join(tmp, "days", "d.json"), json.dumps({"sensor_id": 1, "results": results}))
+
+    def values(*window):
+        return sorted(r.value for r in payloads.read_sensor_days(spark, os.path.join(tmp, "days"), *window).collect())
+
+    assert values() == [0.0, 1.0, 2.0, 3.0]
+    assert values("2020-01-02", "2020-01-03") == [1.0, 2.0]
+    assert values("2020-01-03") == [2.0]
+    assert values(None, "2020-01-01") == [0.0]
+
+
+def test_no_file_of_a_landing_is_good(spark, tmp):
+    land = os.path.join(tmp, "land")
+    pq_table = _trip_table(2, drop="fare_amount")
+    os.makedirs(land)
+    pq.write_table(pq_table, os.path.join(land, "a.parquet"))
+    _write(os.path.join(land, "b.parquet"), "no parquet")
+    res = files.load_parquet_set(spark, land, YELLOW)
+    got = {os.path.basename(r.path): (r.status, r.reason) for r in res.manifest.collect()}
+    assert got["a.parquet"][0] == got["b.parquet"][0] == "rejected"
+    assert "fare_amount" in got["a.parquet"][1] and got["b.parquet"][1]
+    assert res.data.count() == 0
+
+
 def _trip_table(n, passenger_type=pa.float64(), ts_as_text=False, airport="Airport_fee", drop=None):
     base = dt.datetime(2020, 3, 1, 8, 0)
     pu = [base + dt.timedelta(hours=i) for i in range(n)]
