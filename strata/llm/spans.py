@@ -46,14 +46,12 @@ Tokens = Callable[[bytes], np.ndarray]
 Index = Callable[[list[bytes], int], list[list[tuple[int, int]]]]
 
 
-def pieces(tokens: np.ndarray, width: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """anchor, content, start, number of windows of each piece, in order."""
+def pieces(tokens: np.ndarray, width: int, gram: int, chunk: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """anchor, content, start, number of windows of each piece, in order; every window is in one piece."""
     w = width - gram + 1
-    for s in range(0, max(len(tokens) - width + 1, 0), CHUNK - width):
-        t = tokens[s : s + CHUNK]
+    for s in range(0, max(len(tokens) - width + 1, 0), chunk - width + 1):
+        t = tokens[s : s + chunk]
         n = len(t) - width + 1
-        if n < 1:
-            return
         r = Rolling(t)
         g = r.all(gram)
         place = np.arange(len(g), dtype=np.uint64)
@@ -66,7 +64,6 @@ def pieces(tokens: np.ndarray, width: int, gram: int) -> Iterator[tuple[np.ndarr
         at = (np.minimum(back[:n], ahead[w - 1 : w - 1 + n]) & np.uint64((1 << 20) - 1)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         last = np.concatenate((first[1:], [n])) - 1
-        # windows of a chunk are taken up to the overlap, where the next chunk starts
         with np.errstate(over="ignore"):
             content = mix(r.of(first, width) + r.of(last, width) * np.uint64(0x9E3779B97F4A7C15) + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         yield g[at[first]].astype(np.int64), content.astype(np.int64), first + s, last - first + 1
@@ -94,12 +91,14 @@ def expand(blob: bytes) -> bytes:
 
 
 def piece_rows(rows: DataFrame, tokens: Tokens, width: int, gram: int) -> DataFrame:
+    chunk = CHUNK  # by value, as tasks import this module anew
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ks, ts = b.column(0).to_numpy(), b.column(1).to_numpy()
             held: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for i, x in enumerate(b.column(2)):
-                for a, c, s, n in pieces(tokens(x.as_py().encode()), width, gram):
+                for a, c, s, n in pieces(tokens(x.as_py().encode()), width, gram, chunk):
                     for into, v in zip(held, (a, c, np.full(len(a), ks[i]), np.full(len(a), ts[i]), s, n.astype(np.int32)), strict=True):
                         into.append(v)
             if held[0]:

@@ -185,6 +185,38 @@ def test_repeated_words_and_bytes(spark, odd, empty, small, tmp_path, monkeypatc
     assert substringdedup.repeated_words(empty).count() == 0 and suffixdedup.repeated_bytes(empty).count() == 0
 
 
+def repeats_by_hand(docs):
+    """What op8 and op7 give for ``docs``, as counted rows."""
+    rows, words, texts = rows_of(docs), Counter(), Counter()
+    cut = [(i, tuple(WORD.findall(t))) for i, t in rows]
+    for (i, w), gone in zip(cut, covered(cut, 20), strict=True):
+        left = " ".join(x for n, x in enumerate(w) if n not in gone)
+        words[i, len(w), len(gone), hashlib.sha256(left.encode()).hexdigest()] += 1
+    cut = [(i, t.encode()) for i, t in rows]
+    for (i, b), gone in zip(cut, covered(cut, 100), strict=True):
+        left = bytes(x for n, x in enumerate(b) if n not in gone)
+        texts[i, len(b), len(gone), sum(n - 1 not in gone for n in gone), hashlib.sha256(left).hexdigest()] += 1
+    return words, texts
+
+
+def test_pieces_hold_each_window_once():
+    for width, gram in ((20, 8), (100, 32)):
+        for size in (0, width - 1, width, 299, 300, 301, 300 + width, 2000):
+            tokens = np.random.default_rng(size).integers(0, 2**63, size, dtype=np.uint64)
+            got = [np.arange(s, s + n) for _, _, starts, counts in spans.pieces(tokens, width, gram, 300) for s, n in zip(starts, counts, strict=True)]
+            assert np.concatenate([np.array([], int), *got]).tolist() == list(range(max(size - width + 1, 0)))
+
+
+@pytest.mark.parametrize("group", [2000, 1])
+def test_texts_in_many_chunks(spark, odd, tmp_path, monkeypatch, group):
+    monkeypatch.setattr(spans, "GROUP", group)
+    monkeypatch.setattr(spans, "CHUNK", 300)
+    odd.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    words, texts = repeats_by_hand(odd)
+    assert Counter(tuple(r) for r in substringdedup.op8_relative_lempel_ziv(spark, str(tmp_path)).collect()) == words
+    assert Counter(tuple(r) for r in suffixdedup.op7_run_length_suffix(spark, str(tmp_path)).collect()) == texts
+
+
 def test_run_length_index(spark):
     random.seed(3)
     for _ in range(200):
