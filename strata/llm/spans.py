@@ -17,7 +17,8 @@ anchors, hence meet in the pieces of one anchor, and only there.
 4. Spans come back to their documents by id and text.
 
 A row is told apart by (id, hash of its text); null ids count as the largest.  Rows alike in both
-are one document at one place: none is earlier than the other.
+are one document at one place: none is earlier than the other.  Earlier is the order (id, hash, start), the
+same for pieces and for the windows in them: texts that share an id, or have none, come one after the other.
 """
 
 from __future__ import annotations
@@ -117,11 +118,11 @@ def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.nda
     all_pieces = piece_rows(rows, tokens, width, gram)
     often = all_pieces.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
     met = materialize(all_pieces.join(often, "anchor"), f"{name}-pieces")
-    place = F.struct("k", "start", "t", "n")
+    place = F.struct("k", "t", "start", "n")
     contents = materialize(met.groupBy("anchor", "content").agg(F.min(place).alias("p"), F.count("*").alias("c")), f"{name}-contents")
-    again = contents.filter("c > 1").select("anchor", "content", F.col("p.k").alias("k0"), F.col("p.start").alias("s0"))
+    again = contents.filter("c > 1").select("anchor", "content", F.col("p.k").alias("k0"), F.col("p.t").alias("t0"), F.col("p.start").alias("s0"))
     # pieces whose content has come before: duplicates as a whole
-    later = (F.col("k") > F.col("k0")) | ((F.col("k") == F.col("k0")) & (F.col("start") > F.col("s0")))
+    later = (F.col("k") > F.col("k0")) | ((F.col("k") == F.col("k0")) & ((F.col("t") > F.col("t0")) | ((F.col("t") == F.col("t0")) & (F.col("start") > F.col("s0")))))
     whole = met.join(again, ["anchor", "content"]).filter(later).select("k", "t", "start", (F.col("start") + F.col("n") + width - 1).alias("stop"))
     # anchors with several contents: these are compared by token
     several = contents.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1")
@@ -145,7 +146,7 @@ def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.nda
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list[tuple]) -> pa.RecordBatch | None:
-            held.sort(key=lambda x: (x[1], x[3], x[2]))  # order of first occurrence
+            held.sort(key=lambda x: (x[1], x[2], x[3]))  # order of first occurrence
             spans = index([x[4] for x in held], width)
             out = [(x[1], x[2], x[3] + s, x[3] + e) for x, own in zip(held, spans, strict=True) for s, e in own]
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)], ["k", "t", "start", "stop"]) if out else None
@@ -177,7 +178,7 @@ def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.nda
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["k", "t", "start", "h1", "h2"])
 
     windows = fetched.filter("hot").select("k", "t", "start", "n", "piece").mapInArrow(single, "k long, t long, start long, h1 long, h2 long")
-    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("k", "start")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("h1", "h2", F.col("p.k").alias("k0"), F.col("p.start").alias("s0"))
+    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("k", "t", "start")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("h1", "h2", F.col("p.k").alias("k0"), F.col("p.t").alias("t0"), F.col("p.start").alias("s0"))
     hot = windows.join(first, ["h1", "h2"]).filter(later).select("k", "t", "start", (F.col("start") + width).alias("stop"))
     return whole.unionByName(near).unionByName(hot)
 

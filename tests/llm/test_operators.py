@@ -217,6 +217,33 @@ def test_texts_in_many_chunks(spark, odd, tmp_path, monkeypatch, group):
     assert Counter(tuple(r) for r in suffixdedup.op7_run_length_suffix(spark, str(tmp_path)).collect()) == texts
 
 
+@pytest.mark.parametrize("group", [2000, 1])
+def test_repeats_of_texts_without_an_id(spark, odd, tmp_path, monkeypatch, group):
+    monkeypatch.setattr(spans, "GROUP", group)
+    header, own = prose(90, 21), [prose(50, 30 + n) for n in range(7)]
+    changed = header.split()
+    changed[45] = "changed"
+    texts = [f"{header} {own[0]}", f"{header} {own[1]}", f"{own[2]} {header} {own[3]}", " ".join(changed) + f" {own[4]}", f"{own[5]} " + " ".join(changed), f"{header} {own[0]}"]
+    rows = [(None, t) for t in texts] + [(20, f"{own[6]} {own[0]}"), (20, f"{own[6]} {own[1]}")]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    keyed = sorted(docs.select("doc_id", F.coalesce("text", F.lit("")), F.xxhash64(F.coalesce("text", F.lit("")))).collect(), key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+
+    def by_hand(tokens, width):
+        first = {}
+        for i, text, t in keyed:
+            w, gone = tokens(text), set()
+            for s in range(len(w) - width + 1):
+                if first.setdefault(w[s : s + width], (i, t, s)) != (i, t, s):
+                    gone.update(range(s, s + width))
+            yield i, w, gone
+
+    want = Counter((i, len(w), len(gone), hashlib.sha256(" ".join(x for n, x in enumerate(w) if n not in gone).encode()).hexdigest()) for i, w, gone in by_hand(lambda x: tuple(WORD.findall(x)), 20))
+    assert Counter(tuple(r) for r in substringdedup.op8_relative_lempel_ziv(spark, str(tmp_path)).collect()) == want
+    want = Counter((i, len(b), len(gone), sum(n - 1 not in gone for n in gone), hashlib.sha256(bytes(x for n, x in enumerate(b) if n not in gone)).hexdigest()) for i, b, gone in by_hand(str.encode, 100))
+    assert Counter(tuple(r) for r in suffixdedup.op7_run_length_suffix(spark, str(tmp_path)).collect()) == want
+
+
 def test_run_length_index(spark):
     random.seed(3)
     for _ in range(200):
