@@ -2,8 +2,8 @@
 
 Each byte covered by a ``WIDTH``-byte string that also starts earlier goes.  ``spans`` brings
 together, in blocks, the distinct contents around anchors that differ somewhere.  For a block, in order of
-first occurrence, the index keeps the runs of the Burrows-Wheeler transform and
-suffix samples at run ends; matching statistics are streamed from them:
+first occurrence, the index keeps the full suffix order, and match lengths sampled at the run heads
+of the Burrows-Wheeler transform; matching statistics are streamed from the samples:
 
 * the length of the match of a suffix with its neighbour in suffix order is worked out at run
   heads only;
@@ -45,7 +45,7 @@ def byte_ranges(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[byte
 
 
 class RunLengthIndex:
-    """Suffix order of a text, kept as runs of its transform and samples at their ends.
+    """Suffix order of a text, kept whole for marking, and match lengths at the run heads of its transform.
 
     Contents of a block differ, so no string that spans a whole one repeats, and a few doublings order all suffixes.
     """
@@ -69,12 +69,9 @@ class RunLengthIndex:
         order[ranks[-1]] = np.arange(n)
         bwt = a[order - 1].astype(np.int16)
         bwt[order == 0] = -1  # a run of its own
-        head = np.concatenate(([True], bwt[1:] != bwt[:-1]))
-        self.run_heads = np.flatnonzero(head)
-        self.run_bytes = bwt[self.run_heads]
         self.order = order
         # suffix samples at run heads, each with the end of the run before
-        at = self.run_heads[1:]
+        at = np.flatnonzero(bwt[1:] != bwt[:-1]) + 1
         self.sample, self.length = order[at], self._common(a, ranks, order[at], order[at - 1])
 
     @staticmethod
