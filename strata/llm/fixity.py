@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .storage import materialize, table
 
 FILE_PAGES = 1000
+#: Hexadecimal digits of the hash that part the records of one id.
+PART_DIGITS = 2
 RANGE_BITS = (16, 20, 24)
 ROOT = len(RANGE_BITS)
 #: One record in this many is damaged in the query's second replica.
@@ -35,17 +37,44 @@ def warc_record(url: Column, body: Column) -> Column:
     return F.concat(F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: "), F.coalesce(url, F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), size, F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """file_no, offset, n_bytes, page_id, record: pages laid out in files of ``FILE_PAGES`` ids."""
+def raw_records(pages: DataFrame) -> DataFrame:
+    """page_id, record, file_no, n_bytes, sha256 of each page, without its place."""
     r = pages.select(F.col("page_id").cast("long").alias("page_id"), warc_record(F.col("url"), F.col("html")).alias("record"))
     r = r.withColumn("file_no", F.coalesce(F.floor(F.col("page_id") / FILE_PAGES), F.lit(-1)).cast("long")).withColumn("n_bytes", F.octet_length("record").cast("long"))
-    order = Window.partitionBy("file_no").orderBy(F.col("page_id").asc_nulls_first(), F.sha2("record", 256)).rowsBetween(Window.unboundedPreceding, -1)
-    return r.withColumn("offset", F.coalesce(F.sum("n_bytes").over(order), F.lit(0)).cast("long")).select("file_no", "offset", "n_bytes", "page_id", "record")
+    return r.withColumn("sha256", F.sha2(F.col("record").cast("binary"), 256))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows`` (file_no, page_id, n_bytes, sha256 and what follows from the record, but not itself) with ``offset``.
+
+    Equal records are summed first.  Those of one id are in parts by the first digits of the hash: sizes run within a
+    part, and over the parts of a file, of which each id has at most ``16**PART_DIGITS``.
+    """
+    once = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")).withColumn("part", F.substring("sha256", 1, PART_DIGITS))
+    size = F.col("n_bytes") * F.col("copies")
+    sums = once.groupBy("file_no", "page_id", "part").agg(F.sum(size).alias("size"))
+    parts = Window.partitionBy("file_no").orderBy(F.col("page_id").asc_nulls_first(), "part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("file_no").alias("f"), F.col("page_id").alias("p"), F.col("part").alias("q"), F.coalesce(F.sum("size").over(parts), F.lit(0)).alias("base"))
+    own = Window.partitionBy("file_no", "page_id", "part").orderBy("sha256").rowsBetween(Window.unboundedPreceding, -1)
+    once = once.withColumn("before", F.coalesce(F.sum(size).over(own), F.lit(0)))
+    out = once.join(sums, (F.col("file_no") == F.col("f")) & F.col("page_id").eqNullSafe(F.col("p")) & (F.col("part") == F.col("q")))
+    out = out.select(*rows.columns, "base", "before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth"))
+    return out.select(*rows.columns, (F.col("base") + F.col("before") + F.col("nth") * F.col("n_bytes")).cast("long").alias("offset"))
+
+
+def records(pages: DataFrame) -> DataFrame:
+    """file_no, offset, n_bytes, page_id, record: pages laid out in files of ``FILE_PAGES`` ids."""
+    r = raw_records(pages)
+    bodies = r.groupBy("file_no", F.col("page_id").alias("p"), "sha256").agg(F.first("record").alias("record"))
+    at = placed(r.select("file_no", "page_id", "n_bytes", "sha256"))
+    out = at.join(bodies.withColumnsRenamed({"file_no": "f", "sha256": "h"}), (F.col("file_no") == F.col("f")) & F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha256") == F.col("h")))
+    return out.select("file_no", "offset", "n_bytes", "page_id", "record")
 
 
 def leaves(recs: DataFrame) -> DataFrame:
-    """file_no, offset, n_bytes, sha256 of each record."""
-    return recs.select("file_no", "offset", "n_bytes", F.sha2(F.col("record").cast("binary"), 256).alias("sha256"))
+    """file_no, offset, n_bytes, sha256 of each record (which may come with its hash instead of its bytes)."""
+    sha256 = F.col("sha256") if "sha256" in recs.columns else F.sha2(F.col("record").cast("binary"), 256)
+    return recs.select("file_no", "offset", "n_bytes", sha256.alias("sha256"))
 
 
 def tree(leaf: DataFrame) -> list[DataFrame]:
@@ -84,7 +113,7 @@ def damaged(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
 
 
 def audit(a: DataFrame, b: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """The first replica's tree and the records in which the replicas (file_no, offset, n_bytes, record) differ."""
+    """The first replica's tree and the records in which the replicas (file_no, offset, n_bytes, record or sha256) differ."""
     trees = []
     for name, side in (("a", a), ("b", b)):
         low = materialize(leaves(side), f"fixity-{name}")
@@ -94,13 +123,15 @@ def audit(a: DataFrame, b: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 
 def op9_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``pages`` as WARC records, audited against a copy in which one record in ``DAMAGE`` has a changed byte."""
-    first = records(table(spark, sf_dir, "pages"))
+    raw = raw_records(table(spark, sf_dir, "pages"))
     hurt = (F.col("page_id") % DAMAGE == 7) & (F.col("n_bytes") > 40)
-    second = first.withColumn("record", F.when(hurt, F.concat(F.expr("substring(record, 1, length(record) - 5)"), F.lit("~"), F.expr("substring(record, length(record) - 3)"))).otherwise(F.col("record")))
-    levels, bad = audit(first, second.withColumn("n_bytes", F.octet_length("record").cast("long")))
+    other = F.concat(F.expr("substring(record, 1, length(record) - 5)"), F.lit("~"), F.expr("substring(record, length(record) - 3)"))
+    size2, sha2 = F.when(hurt, F.octet_length(other).cast("long")).otherwise(F.col("n_bytes")), F.when(hurt, F.sha2(other.cast("binary"), 256)).otherwise(F.col("sha256"))
+    both = materialize(placed(raw.select("file_no", "page_id", "n_bytes", "sha256", size2.alias("size2"), sha2.alias("sha2"))), "fixity-placed")
+    first = both.select("file_no", "offset", "n_bytes", "page_id", "sha256")
+    levels, bad = audit(first, both.select("file_no", "offset", F.col("size2").alias("n_bytes"), F.col("sha2").alias("sha256")))
     root = levels[-1].select("file_no", F.col("sha256").alias("root_sha256"))
-    out = first.select("file_no", "offset", "n_bytes", "page_id").join(levels[0].select("file_no", "offset", "sha256"), ["file_no", "offset"])
-    out = out.join(bad, ["file_no", "offset"], "left").join(root, "file_no")
+    out = first.join(bad, ["file_no", "offset"], "left").join(root, "file_no")
     return out.select("file_no", "offset", "n_bytes", "page_id", "sha256", F.coalesce("status", F.lit("ok")).alias("status"), "root_sha256")
 
 

@@ -396,6 +396,27 @@ def test_fixity_finds_damage(spark):
     assert fixity.audit(none, none)[1].count() == 0
 
 
+def test_fixity_numbers_records_without_bodies(spark):
+    pages = [(None if i % 3 else 5, f"http://x/{i % 400}", "y" * (i % 70)) for i in range(1500)] + [(-3, "u", "z"), (1007, "u", "z")]
+    recs = fixity.records(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    at = {}
+    for r in recs.collect():
+        at.setdefault(r.file_no, []).append((r.offset, r.page_id is not None, r.page_id or 0, hashlib.sha256(r.record.encode()).hexdigest(), r.n_bytes))
+    assert sum(map(len, at.values())) == len(pages)
+    for rows in at.values():
+        rows.sort()
+        assert [r[1:4] for r in rows] == sorted(r[1:4] for r in rows)
+        assert [r[0] for r in rows] == [sum(r[4] for r in rows[:n]) for n in range(len(rows))]
+    todo, windows = [recs._jdf.queryExecution().optimizedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Window":
+            windows += 1
+            assert "record" not in node.output().mkString(" ")
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert windows
+
+
 # --- toxicity --------------------------------------------------------------------------------
 
 
