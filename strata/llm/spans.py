@@ -11,7 +11,7 @@ anchors, hence meet in the pieces of one anchor, and only there.
 2. Of pieces with equal content all but the first are duplicates as a whole.
 3. Anchors with several different contents (next to an edit) are compared token by token: their
    distinct contents, once each, are fetched from the texts and go to an index in blocks
-   (``index`` below: a run-length Burrows-Wheeler index, or relative Lempel-Ziv parsing).  An anchor with more
+   (``index`` below: a suffix order, or relative Lempel-Ziv parsing).  An anchor with more
    than ``GROUP`` contents is split by window: each window is then a row of its own, and
    equal ones meet by their hash.
 4. Spans come back to their documents by id and text.

@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings with a run-length Burrows-Wheeler index (op 7).
+"""Removal of repeated byte strings by suffix order with match lengths sampled at run heads (op 7).
 
 Each byte covered by a ``WIDTH``-byte string that also starts earlier goes.  ``spans`` brings
 together, in blocks, the distinct contents around anchors that differ somewhere.  For a block, in order of
