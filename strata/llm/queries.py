@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import annsearch, bpe, deobfuscate, fixity, mixing, neardup, oracles, quality, substringdedup, suffixdedup, tokencount
+from . import annsearch, bpe, deobfuscate, fixity, mixing, neardup, oracles, packing, phrases, quality, substringdedup, suffixdedup, tokencount, variants
 
 QUERIES = {
     "op1_stable_projections": annsearch.op1_stable_projections,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_relative_lempel_ziv": substringdedup.op8_relative_lempel_ziv,
     "op9_merkle_fixity": fixity.op9_merkle_fixity,
     "op10_noisy_channel_toxicity": deobfuscate.op10_noisy_channel_toxicity,
+    "op11_fm_collocations": phrases.op11_fm_collocations,
+    "op12_concatenate_and_cut": packing.op12_concatenate_and_cut,
+    "op13_spelling_variants": variants.op13_spelling_variants,
 }
 
 #: Where SQL can express a query; the others are tested against brute force (tests/llm).
@@ -23,4 +26,6 @@ SQL = {
     "op7_run_length_suffix": oracles.REPEATED_BYTES,
     "op8_relative_lempel_ziv": oracles.REPEATED_WORDS,
     "op9_merkle_fixity": fixity.ORACLE_SQL,
+    "op11_fm_collocations": phrases.ORACLE_SQL,
+    "op13_spelling_variants": variants.ORACLE_SQL,
 }
