@@ -41,8 +41,10 @@ def typed(df: DataFrame, column: str, dtype: str) -> Column:
     target type is passed through untouched, so parquet filter pushdown still
     reaches it.
     """
-    src_type = df.schema[column].dataType
-    c = F.col(f"`{column}`")
+    return _as_type(F.col(f"`{column}`"), df.schema[column].dataType, dtype)
+
+
+def _as_type(c: Column, src_type: T.DataType, dtype: str) -> Column:
     target = _TYPES[dtype]
     if src_type == target:
         return c
@@ -62,7 +64,7 @@ def _is_safe_cast(src: T.DataType, dst: T.DataType) -> bool:
     return False
 
 
-def standardize(df: DataFrame, spec: TripSourceSpec, case_sensitive: bool = False) -> DataFrame:
+def standardize(df: DataFrame, spec: TripSourceSpec, case_sensitive: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project ``df`` onto the trip schema described by ``spec``.
 
     * required source column missing -> ``MissingColumnError`` (at plan time);
@@ -71,20 +73,43 @@ def standardize(df: DataFrame, spec: TripSourceSpec, case_sensitive: bool = Fals
       spells ``airport_fee`` in lower case still contributes its values);
     * timestamps come out as ``timestamp_ntz`` (wall-clock, no zone), parsed from
       strings when a file stores them as text (P05);
-    * a constant ``taxi_type`` tag is appended (P04).
+    * a constant ``taxi_type`` tag is appended (P04), then the columns of ``keep`` as they are.
     """
-    cols = df.columns
+    out = [c.alias(f.target) for f, c in zip(spec.fields, _fields(df.schema, spec, case_sensitive))]
+    out.append(F.lit(spec.taxi_type).alias("taxi_type"))
+    return df.select(*out, *keep)
+
+
+def _fields(schema: T.StructType, spec: TripSourceSpec, case_sensitive: bool, prefix: str = "") -> list[Column]:
+    """The columns of ``spec`` in order, out of a frame's columns or (with ``prefix``) a struct's fields."""
     out = []
     for f in spec.fields:
-        src = _resolve(cols, f.source, case_sensitive) if f.source else None
-        if src is None:
-            if f.required:
-                raise MissingColumnError(f"{spec.taxi_type}: required column {f.source!r} missing")
-            out.append(F.lit(None).cast(f.dtype).alias(f.target))
+        src = _resolve(schema.names, f.source, case_sensitive) if f.source else None
+        if src is not None:
+            out.append(_as_type(F.col(f"{prefix}`{src}`"), schema[src].dataType, f.dtype))
+        elif f.required:
+            raise MissingColumnError(f"{spec.taxi_type}: required column {f.source!r} missing")
         else:
-            out.append(typed(df, src, f.dtype).alias(f.target))
-    out.append(F.lit(spec.taxi_type).alias("taxi_type"))
-    return df.select(*out)
+            out.append(F.lit(None).cast(f.dtype))
+    return out
+
+
+def standardize_tagged(df: DataFrame, specs: dict[str, TripSourceSpec], tag: str, case_sensitive: bool = False) -> DataFrame:
+    """Several flavours of one frame in one pass (P01, P02, U01): no scan and no union per flavour.
+
+    ``tag`` names a row's flavour, and its values lie in the struct column of that name; types may
+    differ between the structs, and each target column is built from the row's own.  Rows of no
+    known flavour go.
+    """
+    arms = {t: _fields(df.schema[t].dataType, spec, case_sensitive, f"`{t}`.") for t, spec in specs.items()}
+    out = []
+    for i, f in enumerate(next(iter(specs.values())).fields):
+        c = None
+        for t in specs:
+            c = F.when(F.col(tag) == t, arms[t][i]) if c is None else c.when(F.col(tag) == t, arms[t][i])
+        out.append(c.alias(f.target))
+    names = F.create_map(*[F.lit(x) for t, spec in specs.items() for x in (t, spec.taxi_type)])
+    return df.filter(F.col(tag).isin(*specs)).select(*out, names[F.col(tag)].alias("taxi_type"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -53,6 +53,10 @@ class Lakehouse:
     def green_bronze(self) -> DataFrame:
         return bindings.green_trips_bronze(self.spark, self.root)
 
+    @cached_property
+    def trips_bronze(self) -> DataFrame:
+        return bindings.trips_bronze(self.spark, self.root)
+
     @cached_property
     def measurements_bronze(self) -> DataFrame:
         return bindings.measurements_bronze(self.spark, self.root)
@@ -60,7 +64,7 @@ class Lakehouse:
     # silver -----------------------------------------------------------------
     @cached_property
     def silver_trips(self) -> DataFrame:
-        return silver.silver_trips_from(self.yellow_bronze, self.green_bronze, self.rules)
+        return silver.silver_trips_tagged(self.trips_bronze, self.rules)
 
     @cached_property
     def silver_measurements(self) -> DataFrame:

@@ -18,14 +18,29 @@ from .lakehouse import Lakehouse
 WINDOW_FROM, WINDOW_TO = "1996-01-01", "1997-12-31"
 
 
+def _damaged(df: DataFrame, base: str) -> None:
+    """Files of ``df`` with a sound footer and overwritten page headers, below ``base``/damaged.
+
+    A parquet file begins and ends with the same four bytes; here they are the line ends of files of one line.
+    """
+    spark = df.sparkSession
+    df.write.option("maxRecordsPerFile", 100_000).parquet(f"{base}_whole")
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{base}_whole")
+    body = F.overlay("content", F.lit(b"\xff" * 400), F.lit(5), F.lit(400))
+    line = F.expr("cast(substr(body, 1, length(body) - 4) as string)")
+    lines = whole.select(body.alias("body")).select(line.alias("value"))
+    lines.write.options(lineSep="PAR1", maxRecordsPerFile=1).text(f"{base}/damaged")
+
+
 def files_rejected(spark: SparkSession, root: str) -> DataFrame:
-    """Verdict per landing: good files next to mistyped, incomplete and corrupt ones."""
+    """Verdict per landing: good files next to mistyped, incomplete, corrupt and damaged ones."""
     base = scratch_path(spark, "rejects")
     yellow = bindings.yellow_trips_bronze(spark, root)
     yellow.write.parquet(f"{base}/current")
     yellow.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").isNotNull()).write.parquet(f"{base}/mistyped")
     yellow.drop("fare_amount").write.parquet(f"{base}/incomplete")
     bindings.zone_csv_lines(spark, root).write.text(f"{base}/corrupt")
+    _damaged(yellow, base)
     got = files.load_parquet_set(spark, base, YELLOW, pattern="part-*")
     read = got.data.agg(F.count(F.lit(1)).alias("n")).scalar()
     verdicts = got.manifest.select(F.element_at(F.split("path", "/"), -2).alias("landing"), "status").distinct()

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..config import GREEN, TRIP_FILLS, YELLOW, TripRules, TripSourceSpec
 from ..operators import cleanse
-from ..operators.standardize import standardize, union_all
+from ..operators.standardize import standardize, standardize_tagged, union_all
+
+#: the flavours of a tagged landing frame
+FLAVOURS = {"yellow": YELLOW, "green": GREEN}
 
 
 def silver_trips(
@@ -38,17 +41,26 @@ def silver_trips_from(yellow: DataFrame, green: DataFrame, rules: TripRules = Tr
     return silver_trips([(yellow, YELLOW), (green, GREEN)], rules, **kw)
 
 
+def silver_trips_tagged(bronze: DataFrame, rules: TripRules = TripRules(), case_sensitive: bool = False) -> DataFrame:
+    """R01 over a frame that holds both flavours, read once."""
+    return clean_trips(standardize_tagged(bronze, FLAVOURS, "flavour", case_sensitive), rules)
+
+
 def trip_reject_counts(
     frames: list[tuple[DataFrame, TripSourceSpec]],
     rules: TripRules = TripRules(),
     case_sensitive: bool = False,
 ) -> DataFrame:
-    """Per-rule reject counts of R01 in one pass (one row per taxi type).
+    """Per-rule reject counts of R01 in one pass (one row per taxi type)."""
+    return reject_counts(union_all([standardize(df, spec, case_sensitive) for df, spec in frames]), rules)
+
+
+def reject_counts(std: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+    """Per-rule reject counts of R01 over standardised trips.
 
     Counts are independent (a row failing two rules counts in both); ``kept`` is
     the number of rows passing every rule, ``input_rows`` the number read.
     """
-    std = union_all([standardize(df, spec, case_sensitive) for df, spec in frames])
     std = cleanse.add_duration_minutes(std, "pickup_datetime", "dropoff_datetime")
     all_rules = cleanse.trip_rules(rules) + cleanse.duration_rules(rules)
     keep = None

@@ -33,8 +33,8 @@ TRIP_DATE_FROM = "1996-01-01"
 TRIP_DATE_TO = "2001-01-01"
 
 
-def _trip_base(spark: SparkSession, root: str, linestatus: str) -> DataFrame:
-    li = load(spark, root, "lineitem").filter(F.col("l_linestatus") == linestatus)
+def _trip_base(spark: SparkSession, root: str, *linestatus: str) -> DataFrame:
+    li = load(spark, root, "lineitem").filter(F.col("l_linestatus").isin(*linestatus))
     sup = load(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     # supplier is a dimension; Catalyst/AQE broadcast it only while its measured
     # size is under the broadcast threshold, sort-merge join otherwise.
@@ -80,31 +80,44 @@ def _common_trip_cols() -> list:
     ]
 
 
-def yellow_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """'Yellow' landing frame: typed timestamps, lower-case ``airport_fee``."""
-    b = _trip_base(spark, root, "O")
-    return b.select(
+def _yellow_cols() -> list:
+    return [
         *_common_trip_cols(),
         F.col("_pu_ts").alias("tpep_pickup_datetime"),
         F.col("_do_ts").alias("tpep_dropoff_datetime"),
         F.when(F.col("l_linenumber") != 7, F.col("l_linenumber").cast("double")).alias("passenger_count"),
         F.when(F.col("l_linenumber") == 1, F.lit(1.25)).alias("airport_fee"),
-    )
+    ]
 
 
-def green_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """'Green' landing frame: text timestamps (some unparsable), integer passengers."""
-    b = _trip_base(spark, root, "F")
+def _green_cols() -> list:
     pu_txt = F.when(
         F.pmod(F.col("l_orderkey"), F.lit(997)) == 0, F.lit("not a timestamp")
     ).otherwise(F.date_format("_pu_ts", "yyyy-MM-dd HH:mm:ss"))
-    return b.select(
+    return [
         *_common_trip_cols(),
         pu_txt.alias("lpep_pickup_datetime"),
         F.date_format("_do_ts", "yyyy-MM-dd HH:mm:ss").alias("lpep_dropoff_datetime"),
         F.when(F.col("l_linenumber") != 7, F.col("l_linenumber").cast("int")).alias("passenger_count"),
         (F.pmod(F.col("l_orderkey"), F.lit(2)) + 1).cast("long").alias("trip_type"),
-    )
+    ]
+
+
+def yellow_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """'Yellow' landing frame: typed timestamps, lower-case ``airport_fee``."""
+    return _trip_base(spark, root, "O").select(*_yellow_cols())
+
+
+def green_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """'Green' landing frame: text timestamps (some unparsable), integer passengers."""
+    return _trip_base(spark, root, "F").select(*_green_cols())
+
+
+def trips_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """Both flavours in one scan: ``flavour`` says which of the structs ``yellow`` and ``green`` holds the row."""
+    b = _trip_base(spark, root, "O", "F")
+    flavour = F.when(F.col("l_linestatus") == "O", "yellow").otherwise("green")
+    return b.select(flavour.alias("flavour"), F.struct(*_yellow_cols()).alias("yellow"), F.struct(*_green_cols()).alias("green"))
 
 
 def event_trips_bronze(spark: SparkSession, root: str) -> DataFrame:

@@ -4,50 +4,63 @@
 Files of one landing folder may disagree on column types (an integer passenger
 count in one month, a double in the next; text timestamps).  ``mergeSchema``
 refuses such sets, and one read per file is one job per file.  Instead each
-file's footer schema is probed on the executors, files are grouped by schema,
-and each group is read with a single scan, standardised and unioned.
+file's footer is probed, files are grouped by schema, and each group is read with
+a single scan, standardised and unioned.
+
+Footers are read by pyarrow on the executors where every node sees the path
+(``file:``), and otherwise through the Hadoop file system that Spark itself reads by, so any
+store that Spark opens can be loaded.
+
+A footer says nothing about the pages.  The scan skips what it cannot decode, the rows are
+staged once, and the rows staged from each file are held against its footer: a
+file that came short is rejected as a whole and reported, the others are kept.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import TripSourceSpec
 from ..operators.standardize import MissingColumnError, standardize, union_all
+from ..session import scratch_path
 
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("schema_json", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
+FOOTER_SCHEMA = "path string, uri string, schema_json string, n_rows long, error string"
+#: Paths that one row of a group, or one round of footers, holds at most.
+PATHS = 10_000
+#: Footers that the driver reads at a time where executors cannot open the store.
+READERS = 32
+#: Skip what cannot be decoded, or differs from its page's checksum (where pages have one).
+TOLERANT = {"ignoreCorruptFiles": "true", "parquet.page.verify-checksum.enabled": "true"}
+#: The column that carries a row's file through standardisation.
+FILE = "_file"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
     """One row per file under ``folder`` (recursive), with size and mtime.
 
-    Only the listing columns are selected, so file contents are never read.
+    Only the listing columns are selected, so file contents are never read.  ``uri`` is the path as
+    ``_metadata.file_path`` gives it to the rows of any scan.
     """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select(F.col("path"), F.col("length"), F.col("modificationTime"))
+        .select(F.col("path"), F.col("length"), F.col("modificationTime"), F.col("_metadata.file_path").alias("uri"))
     )
 
 
-def probe_schemas(files: DataFrame) -> DataFrame:
-    """S03 (probe): read each file's parquet footer on the executors.
+def _probe_here(files: DataFrame) -> DataFrame:
+    """Footers of files that every node sees by path, read on the executors.
 
-    Returns (path, schema text, error); corrupt files carry an error and no schema.
-    Only footers are touched: the cost is one small read per file, spread over tasks.
     The probe is defined inside this function so it is shipped to the workers by
     value and needs nothing from this package there (only pandas and pyarrow).
     """
@@ -59,21 +72,62 @@ def probe_schemas(files: DataFrame) -> DataFrame:
 
         for pdf in batches:
             out = []
-            for p in pdf["path"]:
-                local = p[len("file:") :] if p.startswith("file:") else p
+            for p, uri in zip(pdf["path"], pdf["uri"]):
                 try:
-                    sch = pq.read_schema(local)
-                    out.append((p, sch.to_string(show_schema_metadata=False), None))
-                except pa.ArrowNotImplementedError:
-                    raise
-                except (pa.ArrowInvalid, pa.ArrowException, ValueError, FileNotFoundError) as e:
-                    # a scheme that the executors cannot open says nothing about the file
-                    if "filesystem" in str(e) or "://" in local:
-                        raise RuntimeError(f"executors cannot open {p}: {e}") from e
-                    out.append((p, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["path", "schema_json", "error"])
+                    meta = pq.read_metadata(p[len("file:") :] if p.startswith("file:") else p)
+                    text = meta.schema.to_arrow_schema().to_string(show_schema_metadata=False)
+                    out.append((p, uri, text, meta.num_rows, None))
+                except (pa.ArrowException, ValueError, OSError) as e:
+                    out.append((p, uri, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["path", "uri", "schema_json", "n_rows", "error"]).astype({"n_rows": "Int64"})
+
+    return files.select("path", "uri").mapInPandas(probe, FOOTER_SCHEMA)
+
+
+def _chunks(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
+    while chunk := list(itertools.islice(rows, size)):
+        yield chunk
+
+
+def _probe_through_spark(files: DataFrame) -> DataFrame:
+    """Footers by the file system of Spark's own readers, ``PATHS`` files at a time.
+
+    A footer is one small read; the driver never holds more than one round of paths.
+    """
+    spark = files.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    input_file, reader = jvm.org.apache.parquet.hadoop.util.HadoopInputFile, jvm.org.apache.parquet.hadoop.ParquetFileReader
+
+    def footer(f: Row) -> tuple:
+        try:
+            r = reader.open(input_file.fromPath(jvm.org.apache.hadoop.fs.Path(f.path), conf))
+            try:
+                return f.path, f.uri, r.getFileMetaData().getSchema().toString(), r.getRecordCount(), None
+            finally:
+                r.close()
+        except Exception as e:  # noqa: BLE001 - whatever the store or the footer says is the file's verdict
+            return f.path, f.uri, None, None, str(e).splitlines()[0][:500]
 
-    return files.select("path").mapInPandas(probe, MANIFEST_SCHEMA)
+    out = scratch_path(spark, "footers")
+    spark.createDataFrame([], FOOTER_SCHEMA).write.mode("overwrite").parquet(out)
+    with ThreadPoolExecutor(READERS) as pool:
+        for chunk in _chunks(files.select("path", "uri").toLocalIterator(), PATHS):
+            spark.createDataFrame(list(pool.map(footer, chunk)), FOOTER_SCHEMA).coalesce(1).write.mode("append").parquet(out)
+    return spark.read.schema(FOOTER_SCHEMA).parquet(out)
+
+
+def probe_schemas(files: DataFrame) -> DataFrame:
+    """S03 (probe): path, uri, schema text, number of rows of each file; one that has no footer carries an error.
+
+    Only footers are touched, and each file's once: the result is a written table.
+    """
+    local = (F.col("path").startswith("file:")) | ~F.col("path").contains(":/")
+    out = scratch_path(files.sparkSession, "probed")
+    _probe_here(files.filter(local)).write.mode("overwrite").parquet(out)
+    far = files.filter(~local)
+    if not far.isEmpty():
+        _probe_through_spark(far).write.mode("append").parquet(out)
+    return files.sparkSession.read.schema(FOOTER_SCHEMA).parquet(out)
 
 
 @dataclass
@@ -82,6 +136,15 @@ class LoadResult:
     manifest: DataFrame  # one row per file: path, status, reason
 
 
+def _same_schema_groups(probed: DataFrame) -> Iterator[tuple[str, list[str]]]:
+    """(schema text, paths): rows of some ``PATHS`` paths of one schema, one after the other."""
+    good = probed.filter(F.col("error").isNull())
+    parts = good.count() // PATHS + 1
+    groups = good.groupBy("schema_json", F.pmod(F.xxhash64("path"), F.lit(parts)).alias("part")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    for g in groups.select("schema_json", "paths").toLocalIterator():
+        yield g["schema_json"], g["paths"]
+
+
 def load_parquet_set(
     spark: SparkSession,
     folder: str,
@@ -91,35 +154,56 @@ def load_parquet_set(
 ) -> LoadResult:
     """S01 + S03: read every parquet file of ``folder`` onto the trip schema.
 
-    Files whose footer cannot be read, or that lack a required column, are
-    rejected and reported in the manifest; the others are read one scan per
-    distinct schema.  The driver only sees the distinct schemas and the file
-    names (metadata), never rows.
+    Files whose footer cannot be read, that lack a required column, or whose pages cannot all be
+    decoded are rejected and reported in the manifest; the others are read one scan per
+    distinct schema, and staged below the scratch folder.  A scan needs the names of its files, which Spark's own file index
+    holds on the driver as well; they come in groups of some ``PATHS`` and never rows.
     """
     probed = probe_schemas(list_files(spark, folder, pattern))
-    groups = (
-        probed.filter(F.col("error").isNull())
-        .groupBy("schema_json")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
     frames: list[DataFrame] = []
-    verdicts: list[tuple[str, str, str | None]] = []
-    for g in groups:
+    verdicts: dict[str, tuple[str, str | None]] = {}
+    for schema, paths in _same_schema_groups(probed):
+        if verdicts.get(schema, ("accepted",))[0] == "rejected":
+            continue
         try:
-            frames.append(standardize(spark.read.parquet(*g["paths"]), spec, case_sensitive))
-            verdicts.append((g["schema_json"], "accepted", None))
+            # what cannot be decoded is skipped here and found by its missing rows below
+            rows = spark.read.options(**TOLERANT).parquet(*paths).withColumn(FILE, F.col("_metadata.file_path"))
+            frames.append(standardize(rows, spec, case_sensitive, keep=(FILE,)))
+            verdicts[schema] = ("accepted", None)
         except (MissingColumnError, AnalysisException) as e:  # of this schema alone: the others are still read
-            verdicts.append((g["schema_json"], "rejected", str(e)))
+            verdicts[schema] = ("rejected", str(e))
     # a row per distinct schema joins the probed files; a file without a schema carries its own reason
-    known = spark.createDataFrame(verdicts, "schema_json string, status string, reason string")
-    manifest = probed.join(known, "schema_json", "left").select(
-        "path", F.coalesce("status", F.lit("rejected")).alias("status"), F.coalesce("reason", "error").alias("reason")
+    known = spark.createDataFrame([(k, *v) for k, v in verdicts.items()], "schema_json string, status string, reason string")
+    judged = probed.join(known, "schema_json", "left").select(
+        "path", "uri", "n_rows", F.coalesce("status", F.lit("rejected")).alias("status"), F.coalesce("reason", "error").alias("reason")
     )
     if not frames:
         empty = spark.createDataFrame([], _empty_schema(spark, spec))
-        return LoadResult(empty, manifest)
-    return LoadResult(union_all(frames), manifest)
+        return LoadResult(empty, judged.select("path", "status", "reason"))
+    staged = _written(union_all(frames), "staged")
+    read = staged.groupBy(F.col(FILE).alias("uri")).agg(F.count(F.lit(1)).alias("n_read"))
+    n_read = F.coalesce("n_read", F.lit(0))
+    short = (F.col("status") == "accepted") & (n_read < F.col("n_rows"))
+    judged = _written(
+        judged.join(read, "uri", "left").select(
+            "path",
+            "uri",
+            F.when(short, "rejected").otherwise(F.col("status")).alias("status"),
+            F.when(short, F.concat(F.lit("damaged data: "), n_read, F.lit(" of "), "n_rows", F.lit(" rows can be read"))).otherwise(F.col("reason")).alias("reason"),
+            short.alias("damaged"),
+        ),
+        "manifest",
+    )
+    # written, so its size is known: few damaged files travel to the rows, many are joined by their names
+    damaged = _written(judged.filter("damaged").select(F.col("uri").alias(FILE)), "damaged")
+    data = staged if damaged.isEmpty() else staged.join(damaged, FILE, "left_anti")
+    return LoadResult(data.drop(FILE), judged.select("path", "status", "reason"))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _empty_schema(spark: SparkSession, spec: TripSourceSpec) -> T.StructType:

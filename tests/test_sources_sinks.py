@@ -220,3 +220,58 @@ def test_streaming_loader_processes_each_file_once(spark, tmp):
     got = spark.read.parquet(out)
     assert got.count() == 5
     assert {r.pickup_month for r in got.select("pickup_month").collect()} == {3, 4}
+
+
+def test_files_with_damaged_pages_are_rejected_whole(spark, tmp):
+    land = os.path.join(tmp, "with space")
+    os.makedirs(land)
+    pq.write_table(_trip_table(5000), os.path.join(land, "good 1.parquet"))
+    pq.write_table(_trip_table(4), os.path.join(land, "good2.parquet"))
+    pq.write_table(_trip_table(0), os.path.join(land, "no rows.parquet"))
+    for name, n in (("first page.parquet", 50), ("later page.parquet", 60_000), ("changed values.parquet", 60_000)):
+        p = os.path.join(land, name)
+        pq.write_table(_trip_table(n), p, row_group_size=10_000, use_dictionary=False, compression="none", write_page_checksum=True)
+        meta = pq.read_metadata(p)
+        at = meta.row_group(meta.num_row_groups // 2).column(4).data_page_offset
+        with open(p, "r+b") as f:  # a page's header, or values behind it that still decode
+            f.seek(at + 400 if name.startswith("changed") else at)
+            f.write(b"\xff" * 100)
+    res = files.load_parquet_set(spark, land, YELLOW)
+    got = {os.path.basename(r.path): (r.status, r.reason) for r in res.manifest.collect()}
+    assert {k.replace("%20", " "): v[0] for k, v in got.items()} == {
+        "good 1.parquet": "accepted",
+        "good2.parquet": "accepted",
+        "no rows.parquet": "accepted",
+        "first page.parquet": "rejected",
+        "later page.parquet": "rejected",
+        "changed values.parquet": "rejected",
+    }
+    assert all("damaged" in v[1] for v in got.values() if v[0] == "rejected")
+    assert res.data.count() == 5004 and files.FILE not in res.data.columns
+
+
+def test_a_landing_that_only_spark_can_open(spark, tmp):
+    land = os.path.join(tmp, "land")
+    os.makedirs(os.path.join(land, "y"))
+    pq.write_table(_trip_table(3), os.path.join(land, "y", "a.parquet"))
+    pq.write_table(_trip_table(4, passenger_type=pa.int64(), ts_as_text=True), os.path.join(land, "y", "b.parquet"))
+    pq.write_table(_trip_table(5, drop="fare_amount"), os.path.join(land, "y", "c.parquet"))
+    _write(os.path.join(land, "y", "d.parquet"), "no parquet")
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.landing.link./in", f"file://{land}")
+    res = files.load_parquet_set(spark, "viewfs://landing/in/y", YELLOW)
+    got = {r.path.rsplit("/", 1)[1]: r.status for r in res.manifest.collect()}
+    assert got == {"a.parquet": "accepted", "b.parquet": "accepted", "c.parquet": "rejected", "d.parquet": "rejected"}
+    assert res.data.count() == 7
+
+
+def test_paths_come_in_groups(spark, tmp, monkeypatch):
+    land = os.path.join(tmp, "many")
+    os.makedirs(land)
+    for i in range(9):
+        pq.write_table(_trip_table(2, passenger_type=pa.int64() if i % 2 else pa.float64()), os.path.join(land, f"{i}.parquet"))
+    monkeypatch.setattr(files, "PATHS", 2)
+    probed = files.probe_schemas(files.list_files(spark, land))
+    groups = list(files._same_schema_groups(probed))
+    assert sorted(p.rsplit("/", 1)[1] for _, g in groups for p in g) == [f"{i}.parquet" for i in range(9)] and len(groups) > 2
+    assert files.load_parquet_set(spark, land, YELLOW).data.count() == 18
