@@ -753,7 +753,8 @@ q(
     SELECT 'current' AS landing, 'accepted' AS status, count(*) AS n_rows FROM trip_base_y
     UNION ALL SELECT 'mistyped', 'rejected', 0
     UNION ALL SELECT 'incomplete', 'rejected', 0
-    UNION ALL SELECT 'corrupt', 'rejected', 0""",
+    UNION ALL SELECT 'corrupt', 'rejected', 0
+    UNION ALL SELECT 'damaged', 'rejected', 0""",
 )
 q(
     "sql_monthly_fares",
@@ -761,6 +762,25 @@ q(
     """SELECT taxi_type, year, month, CAST(sum(trip_count) AS BIGINT) AS trips, CAST(sum(CAST(total_fare AS DECIMAL(28, 2))) AS DOUBLE) AS fares
     FROM fact_taxi GROUP BY taxi_type, year, month""",
 )
+GOLD_CTES = {"FactTaxiDaily": "fact_taxi", "FactAirQualityDaily": "fact_air", "DimDate": "dim_date", "DimZone": "dim_zone", "DimFX": "dim_fx", "DimGDP": "dim_gdp"}
+q("gold_tables", list(GOLD_CTES.values()), " UNION ALL BY NAME ".join(f"SELECT '{name}' AS table_name, * FROM {c}" for name, c in GOLD_CTES.items()))
+q(
+    "guarded_writes",
+    ["silver_gdp"],
+    """
+    SELECT t.no, t.step, t.outcome, CASE WHEN t.times > 0 THEN t.times * (SELECT count(*) FROM silver_gdp) END AS row_count
+    FROM (VALUES (1, 'strict overwrite of no table', 'done', 1), (2, 'strict overwrite, same columns', 'done', 1),
+          (3, 'strict overwrite, other columns', 'refused', 1), (4, 'append, same columns', 'done', 2),
+          (5, 'append, other columns', 'refused', 2), (6, 'overwrite that dies', 'died', 2),
+          (7, 'overwrite with itself, each row once', 'done', 1), (8, 'overwrite, other columns', 'done', 1),
+          (9, 'drop', 'done', 0), (10, 'drop of no table', 'done', 0)) AS t(no, step, outcome, times)""",
+)
+q(
+    "partitioned_fact",
+    ["fact_taxi"],
+    """SELECT year, month, taxi_type, CAST(sum(trip_count) AS BIGINT) AS trip_count, CAST(sum(total_passengers) AS BIGINT) AS total_passengers
+    FROM fact_taxi WHERE month BETWEEN 4 AND 6 GROUP BY year, month, taxi_type""",
+)
 # landed files hold the same rows as the parsed text
 for _file, _text in (("zone_csv_file", "zone_csv"), ("fx_csv_file", "fx_csv"), ("gdp_json_file", "gdp_json"), ("locations_file", "locations_flat")):
     SQL[_file] = SQL[_text]

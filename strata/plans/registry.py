@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..config import GREEN, YELLOW
+from ..config import YELLOW
 from ..operators import dims, facts, standardize
 from ..sources import bindings
-from . import ingest, landed, questions, reports, silver
+from . import ingest, landed, questions, reports, silver, warehouse
 from .lakehouse import BINDING_FALLBACK, Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +30,8 @@ def _silver_trips(spark, root):
 
 
 def _reject_counts(spark, root):
-    return silver.trip_reject_counts(
-        [(bindings.yellow_trips_bronze(spark, root), YELLOW), (bindings.green_trips_bronze(spark, root), GREEN)],
-        Lakehouse(spark, root).rules,
-    )
+    std = standardize.standardize_tagged(bindings.trips_bronze(spark, root), silver.FLAVOURS, "flavour")
+    return silver.reject_counts(std, Lakehouse(spark, root).rules)
 
 
 def _fact_events(spark, root):
@@ -158,4 +156,8 @@ QUERIES: dict[str, Query] = {
     "locations_file": landed.locations_file,
     "measurements_file": landed.measurements_file,
     "sql_monthly_fares": landed.sql_monthly_fares,
+    # tables by name
+    "gold_tables": warehouse.gold_tables,
+    "guarded_writes": warehouse.guarded_writes,
+    "partitioned_fact": warehouse.partitioned_fact,
 }
