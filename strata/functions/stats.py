@@ -48,13 +48,3 @@ def pct_change(x: Column | str, order: Column | str) -> Column:
     w = Window.orderBy(_c(order))
     prev = F.lag(_c(x)).over(w)
     return (F.try_divide(_c(x), prev) - 1) * 100
-
-
-def share_of_total(x: Column | str) -> Column:
-    """``x / sum(x) over ()`` (W02); bounded frames only (see ``pct_change``)."""
-    return F.try_divide(_c(x), F.sum(_c(x)).over(Window.partitionBy()))
-
-
-def round_half_up(x: Column | str, digits: int) -> Column:
-    """Round a double half away from zero on its decimal string form (Spark ``round``)."""
-    return F.round(_c(x), digits)

@@ -22,14 +22,14 @@ def distinct_dates(frames_and_cols: list[tuple[DataFrame, str]]) -> DataFrame:
     Each arm is reduced to its distinct dates first (partial aggregation on the
     executors), so the union shuffles at most one row per date per task.
     """
-    arms = [df.select(F.to_date(F.col(c)).alias("date_val")).distinct() for df, c in frames_and_cols]
+    arms = [df.select(F.to_date(F.col(c)).alias("day")).distinct() for df, c in frames_and_cols]
     out = arms[0]
     for a in arms[1:]:
         out = out.unionByName(a)
     return out.distinct()
 
 
-def dim_date(dates: DataFrame, col: str = "date_val") -> DataFrame:
+def dim_date(dates: DataFrame, col: str = "day") -> DataFrame:
     """Calendar attributes with Sunday-based weekdays and weeks."""
     d = F.col(col)
     return dates.select(

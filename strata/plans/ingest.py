@@ -17,20 +17,19 @@ from .lakehouse import BINDING_RULES, Lakehouse
 
 
 def month_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Expected monthly files of both flavours over the binding's date window,
-    flagged with whether the landing data holds trips for that month."""
+    """S12 + S02: expected monthly files of both flavours over the binding's date window, held against a
+    listing of the landing; no trip is read for it."""
     prefixes = ["yellow_tripdata_", "green_tripdata_\n"]  # a stray newline is trimmed
+    base = scratch_path(spark, "months")
 
-    def arrived(df: DataFrame, prefix: str, col: str) -> DataFrame:
-        ts = F.col(col).cast("string").try_cast("timestamp_ntz")
-        return df.select(F.concat(F.lit(prefix), F.date_format(ts, "yyyy-MM"), F.lit(".parquet")).alias("file_name")).filter(
-            F.col("file_name").isNotNull()
-        )
+    def land(df: DataFrame, prefix: str, col: str) -> None:
+        month = F.date_format(F.col(col).cast("string").try_cast("timestamp_ntz"), "yyyy-MM")
+        names = df.select(F.concat(F.lit(prefix), F.coalesce(month, F.lit("unknown")), F.lit(".parquet")).alias("file_name"), col, "fare_amount")
+        names.hint("rebalance", "file_name").write.partitionBy("file_name").parquet(f"{base}/{prefix}")
 
-    present = arrived(bindings.yellow_trips_bronze(spark, root), "yellow_tripdata_", "tpep_pickup_datetime").unionByName(
-        arrived(bindings.green_trips_bronze(spark, root), "green_tripdata_", "lpep_pickup_datetime")
-    )
-    return files.month_manifest(spark, "1996-01", "2000-12", prefixes, present)
+    land(bindings.yellow_trips_bronze(spark, root), "yellow_tripdata_", "tpep_pickup_datetime")
+    land(bindings.green_trips_bronze(spark, root), "green_tripdata_", "lpep_pickup_datetime")
+    return files.month_manifest(spark, "1996-01", "2000-12", prefixes, files.landed_names(spark, base))
 
 
 def _locations(spark: SparkSession, root: str) -> DataFrame:

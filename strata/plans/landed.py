@@ -5,6 +5,8 @@ The landing folders lie below the scratch folder; their contents grow with the t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,24 @@ def files_rejected(spark: SparkSession, root: str) -> DataFrame:
     return verdicts.withColumn("n_rows", F.when(F.col("status") == "accepted", read).otherwise(F.lit(0).cast("bigint")))
 
 
+def rejects_by_reason(spark: SparkSession, root: str) -> DataFrame:
+    """Landed texts with faults: rows taken, and records set apart by reason."""
+    base = scratch_path(spark, "faulty")
+    for name, text in bindings.faulty_text(spark, root).items():
+        text.write.option("maxRecordsPerFile", 1 if name == "gdp" else 0).text(f"{base}/{name}")
+    checked = {
+        "zones": payloads.checked_csv(payloads.read_lines(spark, f"{base}/zones", payloads.ZONE_CSV, col="line"), payloads.ZONE_CSV),
+        "rates": payloads.checked_csv(payloads.read_lines(spark, f"{base}/rates", payloads.FX_CSV, col="line"), payloads.FX_CSV),
+        "locations": payloads.checked_locations(payloads.read_lines(spark, f"{base}/locations")),
+        "readings": payloads.checked_sensor_days(payloads.read_lines(spark, f"{base}/readings")),
+        "gdp": payloads.checked_gdp(payloads.read_lines(spark, f"{base}/gdp", whole=True)),
+    }
+    reasons = []
+    for name, c in checked.items():
+        reasons += [c.rejects.select(F.lit(name).alias("source"), "reason"), c.rows.select(F.lit(name).alias("source"), F.lit("accepted").alias("reason"))]
+    return reduce(lambda a, b: a.unionByName(b), reasons).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def zone_csv_file(spark: SparkSession, root: str) -> DataFrame:
     """The zone lookup as CSV files with a header line."""
     path = f"{scratch_path(spark, 'zones')}/zones.csv"

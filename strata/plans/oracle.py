@@ -235,26 +235,28 @@ cte(
     FROM silver_measurements
     GROUP BY measurement_year, measurement_month, measurement_day, location_id, location_name, parameter_name, parameter_units""",
 )
+# every day between the first and the last one of three tables that at least one of them has
+_DAYS = {"silver_fx": "date", "silver_trips": "pickup_datetime", "silver_measurements": "measurement_date"}
 cte(
-    "all_dates",
-    ["silver_fx", "silver_trips", "silver_measurements"],
-    """
-    SELECT DISTINCT CAST(date AS DATE) AS date_val FROM silver_fx
-    UNION SELECT DISTINCT CAST(pickup_datetime AS DATE) FROM silver_trips
-    UNION SELECT DISTINCT CAST(measurement_date AS DATE) FROM silver_measurements""",
+    "busy_days",
+    list(_DAYS),
+    f"""
+    SELECT CAST(t.d AS DATE) AS day
+    FROM (SELECT unnest(generate_series(least({", ".join(f"(SELECT min({c}) FROM {t})" for t, c in _DAYS.items())})::DATE,
+                                        greatest({", ".join(f"(SELECT max({c}) FROM {t})" for t, c in _DAYS.items())})::DATE, INTERVAL 1 DAY)) AS d) t
+    WHERE {" OR ".join(f"CAST(t.d AS DATE) IN (SELECT CAST({c} AS DATE) FROM {t})" for t, c in _DAYS.items())}""",
 )
 cte(
     "dim_date",
-    ["all_dates"],
+    ["busy_days"],
     """
-    SELECT CAST(year(date_val) * 10000 + month(date_val) * 100 + day(date_val) AS INTEGER) AS date_key,
-           date_val AS date, CAST(year(date_val) AS INTEGER) AS year,
-           CAST((month(date_val) - 1) // 3 + 1 AS INTEGER) AS quarter,
-           CAST(month(date_val) AS INTEGER) AS month, CAST(day(date_val) AS INTEGER) AS day_of_month,
-           CAST(dayofweek(date_val) + 1 AS INTEGER) AS day_of_week,
-           CASE WHEN dayofweek(date_val) + 1 IN (1, 7) THEN 1 ELSE 0 END AS is_weekend,
-           CAST(floor((dayofyear(date_val) + dayofweek(make_date(year(date_val), 1, 1)) + 1 - 2) / 7) + 1 AS INTEGER) AS week_of_year
-    FROM all_dates""",
+    SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_key, day AS date, CAST(date_part('year', day) AS INTEGER) AS year,
+           CAST(date_part('quarter', day) AS INTEGER) AS quarter, CAST(date_part('month', day) AS INTEGER) AS month,
+           CAST(date_part('day', day) AS INTEGER) AS day_of_month, CAST(isodow(day) % 7 + 1 AS INTEGER) AS day_of_week,
+           CAST(isodow(day) >= 6 AS INTEGER) AS is_weekend,
+           -- Sundays so far this year; the days before the first one are week 1
+           CAST(strftime(day, '%U') AS INTEGER) + CAST(isodow(date_trunc('year', day)) <> 7 AS INTEGER) AS week_of_year
+    FROM busy_days""",
 )
 cte(
     "dim_zone",
@@ -762,6 +764,35 @@ q(
     """SELECT taxi_type, year, month, CAST(sum(trip_count) AS BIGINT) AS trips, CAST(sum(CAST(total_fare AS DECIMAL(28, 2))) AS DOUBLE) AS fares
     FROM fact_taxi GROUP BY taxi_type, year, month""",
 )
+q(
+    "reject_counts_written",
+    ["trips_std", "silver_trips"],
+    f"""
+    WITH c AS ({SQL["reject_counts"]})
+    SELECT taxi_type, metric, CAST(n AS BIGINT) AS n FROM (UNPIVOT c ON COLUMNS(* EXCLUDE (taxi_type)) INTO NAME metric VALUE n)
+    UNION ALL
+    SELECT t.taxi_type, 'rows_' || y, count(s.taxi_type)
+    FROM (VALUES ('yellow'), ('green')) t(taxi_type) CROSS JOIN generate_series(1996, 2000) g(y)
+    LEFT JOIN silver_trips s ON s.taxi_type = t.taxi_type AND s.pickup_year = y GROUP BY ALL""",
+)
+q(
+    "rejects_by_reason",
+    ["dim_zone", "silver_gdp"],
+    """
+    SELECT 'zones' AS source, CASE zone_id % 5 WHEN 1 THEN '3 fields instead of 4' WHEN 2 THEN '5 fields instead of 4'
+           WHEN 3 THEN 'a value of another type' ELSE 'accepted' END AS reason, count(*) AS n FROM dim_zone GROUP BY ALL
+    UNION ALL
+    SELECT 'rates', CASE day(o_orderdate) WHEN 5 THEN 'a value of another type' WHEN 6 THEN '31 fields instead of 32' ELSE 'accepted' END, count(*) FROM orders GROUP BY ALL
+    UNION ALL
+    SELECT 'readings', CASE WHEN o_orderkey % 97 = 0 THEN 'not JSON' WHEN o_orderkey % 89 = 0 THEN 'a value of another type' ELSE 'accepted' END, count(*) FROM orders GROUP BY ALL
+    UNION ALL
+    SELECT 'locations', 'accepted', count(*) FROM customer WHERE c_custkey // 1000 % 2 = 0 HAVING count(*) > 0
+    UNION ALL
+    SELECT 'locations', 'not JSON', count(DISTINCT c_custkey // 1000) FROM customer WHERE c_custkey // 1000 % 2 = 1 HAVING count(*) > 0
+    UNION ALL
+    SELECT 'gdp', CASE right(country_code, 1) WHEN '3' THEN 'not JSON' WHEN '7' THEN 'no records' ELSE 'accepted' END,
+           CASE WHEN any_value(right(country_code, 1)) IN ('3', '7') THEN count(DISTINCT country_code) ELSE count(*) END FROM silver_gdp GROUP BY 2""",
+)
 GOLD_CTES = {"FactTaxiDaily": "fact_taxi", "FactAirQualityDaily": "fact_air", "DimDate": "dim_date", "DimZone": "dim_zone", "DimFX": "dim_fx", "DimGDP": "dim_gdp"}
 q("gold_tables", list(GOLD_CTES.values()), " UNION ALL BY NAME ".join(f"SELECT '{name}' AS table_name, * FROM {c}" for name, c in GOLD_CTES.items()))
 q(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..config import YELLOW
 from ..operators import dims, facts, standardize
+from ..session import scratch_path
 from ..sources import bindings
 from . import ingest, landed, questions, reports, silver, warehouse
 from .lakehouse import BINDING_FALLBACK, Lakehouse
@@ -34,6 +35,12 @@ def _reject_counts(spark, root):
     return silver.reject_counts(std, Lakehouse(spark, root).rules)
 
 
+def _reject_counts_written(spark, root):
+    std = standardize.standardize_tagged(bindings.trips_bronze(spark, root), silver.FLAVOURS, "flavour")
+    _, counts = silver.write_counted_trips(std, scratch_path(spark, "counted"), tuple(silver.FLAVOURS), Lakehouse(spark, root).rules)
+    return spark.createDataFrame([(t, m, n) for t, ms in counts.items() for m, n in ms.items()], "taxi_type string, metric string, n long")
+
+
 def _fact_events(spark, root):
     std = standardize.standardize(bindings.event_trips_bronze(spark, root), YELLOW)
     return schemas.conform(facts.fact_taxi_daily(silver.clean_trips(std)), schemas.FACT_TAXI_DAILY)
@@ -83,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "silver_gdp": lambda s, r: _lh(s, r).silver_gdp,
     "silver_fx": lambda s, r: _lh(s, r).silver_fx,
     "reject_counts": _reject_counts,
+    "reject_counts_written": _reject_counts_written,
     # gold (A01, A02, R04, P20-P22, J05)
     "fact_trips_daily": lambda s, r: _lh(s, r).fact_taxi,
     "fact_events_daily": _fact_events,
@@ -150,6 +158,7 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip": ingest.sink_roundtrip,
     # landed files and SQL text
     "files_rejected": landed.files_rejected,
+    "rejects_by_reason": landed.rejects_by_reason,
     "zone_csv_file": landed.zone_csv_file,
     "fx_csv_file": landed.fx_csv_file,
     "gdp_json_file": landed.gdp_json_file,

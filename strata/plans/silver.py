@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import GREEN, TRIP_FILLS, YELLOW, TripRules, TripSourceSpec
 from ..operators import cleanse
 from ..operators.standardize import standardize, standardize_tagged, union_all
+from ..sinks.writers import overwrite
 
 #: the flavours of a tagged landing frame
 FLAVOURS = {"yellow": YELLOW, "green": GREEN}
@@ -73,6 +76,36 @@ def reject_counts(std: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     )
 
 
+def write_counted_trips(std: DataFrame, path: str, types: tuple[str, ...], rules: TripRules = TripRules(), fills: dict[str, object] = TRIP_FILLS) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """R01 + A24, A25: write silver and return (the written table, type -> metric -> count) of that one job.
+
+    The metrics (rows read, rejected per rule, kept, written per year) are observed while the rows pass on their way to the
+    files: nothing is read or judged twice.  All rows pass the first counter, so no rule is pushed below it.
+    """
+    all_rules = cleanse.trip_rules(rules) + cleanse.duration_rules(rules)
+    years = range(int(rules.date_from[:4]), int(rules.date_to[:4]) + (rules.date_to[4:] > "-01-01"))
+    keep = reduce(lambda a, b: a & b, (r.predicate for r in all_rules))
+
+    def count(t: str, metric: str, test: Column) -> Column:
+        return F.count_if((F.col("taxi_type") == t) & F.coalesce(test, F.lit(False))).alias(f"{t}|{metric}")
+
+    before, after = Observation(), Observation()
+    df = cleanse.add_duration_minutes(std, "pickup_datetime", "dropoff_datetime").observe(
+        before,
+        *[count(t, "input_rows", F.lit(True)) for t in types],
+        *[count(t, f"rejected_{r.name}", ~F.coalesce(r.predicate, F.lit(False))) for t in types for r in all_rules],
+        *[count(t, "kept", keep) for t in types],
+    )
+    df = clean_trips(df.drop("trip_duration_minutes"), rules, fills)
+    df = df.observe(after, *[count(t, f"rows_{y}", F.col("pickup_year") == y) for t in types for y in years])
+    overwrite(df, path)
+    counts: dict[str, dict[str, int]] = {t: {} for t in types}
+    for name, n in {**before.get, **after.get}.items():
+        t, metric = name.split("|")
+        counts[t][metric] = int(n)
+    return std.sparkSession.read.schema(df.schema).parquet(path), counts
+
+
 def silver_measurements(bronze: DataFrame) -> DataFrame:
     """Date parts, value filter, whole-row de-duplication."""
     df = bronze.withColumn("measurement_date", F.col("date").try_cast("date"))

@@ -285,8 +285,29 @@ def location_pages_text(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def sensor_days_text(spark: SparkSession, root: str) -> DataFrame:
-    """Per-sensor daily results, one landed record per reading."""
+def faulty_text(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The landed texts (a column ``value`` each) with faults that follow from their keys: lines cut short or too long, broken
+    JSON, text where a number belongs, documents without records."""
+    zone, line = F.split("line", ",")[0].cast("int") % 5, F.col("line")
+    zones = F.when(zone == 1, F.regexp_replace(line, ",[^,]*$", "")).when(zone == 2, F.concat(line, F.lit(",more"))).when(zone == 3, F.concat(F.lit("no "), line))
+    day = F.split("line", ",")[6].substr(9, 2)
+    rates = F.when(day == "05", F.regexp_replace(line, r"[0-9]{4}-[0-9]{2}-05", "no date")).when(day == "06", F.regexp_replace(line, ",[^,]*$", ""))
+    value, cut = F.col("value"), F.expr("substr(value, 1, length(value) - 9)")
+    no_id = F.regexp_replace(value, '"sensor_id":[0-9]+', '"sensor_id":"none"')
+    days = F.when(F.col("o_orderkey") % 97 == 0, cut).when(F.col("o_orderkey") % 89 == 0, no_id)
+    code = F.get_json_object("value", "$[1][0].countryiso3code").substr(-1, 1)
+    docs = F.when(code == "3", cut).when(code == "7", F.lit('[{"page":1}]'))
+    return {
+        "zones": zone_csv_lines(spark, root).select(F.coalesce(zones, line).alias("value")),
+        "rates": fx_csv_lines(spark, root).select(F.coalesce(rates, line).alias("value")),
+        "locations": location_pages_text(spark, root).select(F.when(F.col("page") % 2 == 1, cut).otherwise(value).alias("value")),
+        "readings": sensor_days_text(spark, root, "o_orderkey").select(F.coalesce(days, value).alias("value")),
+        "gdp": gdp_documents_text(spark, root).select(F.coalesce(docs, value).alias("value")),
+    }
+
+
+def sensor_days_text(spark: SparkSession, root: str, *keep: str) -> DataFrame:
+    """Per-sensor daily results, one landed record per reading, after the order's columns ``keep``."""
     o = load(spark, root, "orders")
     pid = F.substring("o_orderpriority", 1, 1).cast("long")
     utc = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00Z"))
@@ -296,7 +317,7 @@ def sensor_days_text(spark: SparkSession, root: str) -> DataFrame:
         (F.col("o_custkey") * 10 + pid).alias("sensor_id"),
         F.array(F.struct(value.alias("value"), period.alias("period"))).alias("results"),
     )
-    return o.select(F.to_json(rec).alias("value"))
+    return o.select(*keep, F.to_json(rec).alias("value"))
 
 
 def gdp_documents_text(spark: SparkSession, root: str) -> DataFrame:

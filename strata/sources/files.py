@@ -218,6 +218,16 @@ def _strip(c):
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def landed_names(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """S02 for the manifest: ``file_name`` of each landed file of ``folder``, from the listing alone.
+
+    A file that a Spark job wrote as a folder of parts counts by the folder's name, plain or as a
+    partition ``file_name=...``.
+    """
+    name = F.regexp_extract("path", r"([^/]+)(?:/part-[^/]*)?$", 1)
+    return list_files(spark, folder, pattern).select(F.regexp_replace(name, "^file_name=", "").alias("file_name")).distinct()
+
+
 def month_manifest(
     spark: SparkSession,
     first_month: str,

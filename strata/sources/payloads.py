@@ -9,6 +9,9 @@ flattened with ``explode`` (a lateral view), never with driver-side loops.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,6 +112,84 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, col: str = "line") -
     return lines.select(F.from_csv(F.col(col), schema.simpleString(), opts).alias("r")).select("r.*")
 
 
+# --------------------------------------------------------------------- faulty records
+
+_RAW = "_record"
+EMPTY, NOT_JSON, NO_RECORDS, OTHER_TYPE = "empty", "not JSON", "no records", "a value of another type"
+
+
+@dataclass
+class Checked:
+    """What a reader could take as declared, and the records it could not: nothing is cut, nulled or dropped silently.
+
+    ``rejects`` holds the text as ``record``, its ``reason``, and the other columns of the frame it came in (a file's path).
+    """
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def _checked(records: DataFrame, col: str, parsed: Column, unreadable: Column, reason: Column, rows: Callable[[DataFrame], DataFrame]) -> Checked:
+    """Split ``records`` by ``unreadable``, a test of the column ``_parsed``."""
+    others = [c for c in records.columns if c != col]
+    df = records.withColumn("_parsed", parsed)
+    bad = F.coalesce(unreadable, F.lit(True))
+    why = F.when(F.coalesce(F.trim(col), F.lit("")) == "", EMPTY).otherwise(reason)
+    return Checked(rows(df.filter(~bad)), df.filter(bad).select(*others, F.col(col).alias("record"), why.alias("reason")))
+
+
+def _with_raw(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())])
+
+
+def _json_reason(col: str) -> Column:
+    return F.when(F.try_parse_json(col).isNull(), NOT_JSON).otherwise(OTHER_TYPE)
+
+
+def checked_csv(lines: DataFrame, schema: T.StructType, col: str = "line") -> Checked:
+    """Lines with another number of fields, or a field that is not of its type, are set apart."""
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine")} | {"columnNameOfCorruptRecord": _RAW}
+    n = F.size(F.split(F.col(col), ","))
+    reason = F.when(n != len(schema), F.concat(n.cast("string"), F.lit(f" fields instead of {len(schema)}"))).otherwise(OTHER_TYPE)
+    parsed = F.from_csv(F.col(col), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _with_raw(schema)), opts)
+    unreadable = (n != len(schema)) | F.col(f"_parsed.{_RAW}").isNotNull() | (F.trim(col) == "")
+    return _checked(lines, col, parsed, unreadable, reason, lambda df: df.select(*[F.col(f"_parsed.{f.name}") for f in schema]))
+
+
+def checked_json(records: DataFrame, schema: T.StructType, explode: Callable[[DataFrame], DataFrame], col: str = "value") -> Checked:
+    """A broken record, or one with a value of another type anywhere inside, is set apart as a whole."""
+    parsed = F.from_json(F.col(col), _with_raw(schema), {"columnNameOfCorruptRecord": _RAW})
+    unreadable = F.col("_parsed").isNull() | F.col(f"_parsed.{_RAW}").isNotNull() | (F.trim(col) == "")
+    rows = lambda df: explode(df.select(*[F.col(f"_parsed.{f.name}") for f in schema]))
+    return _checked(records, col, parsed, unreadable, _json_reason(col), rows)
+
+
+def checked_locations(pages: DataFrame, col: str = "value") -> Checked:
+    return checked_json(pages, LOCATIONS_PAGE, explode_locations, col)
+
+
+def checked_sensor_days(records: DataFrame, col: str = "value") -> Checked:
+    return checked_json(records, SENSOR_DAYS, explode_sensor_days, col)
+
+
+def checked_gdp(docs: DataFrame, col: str = "value") -> Checked:
+    """Documents that are broken, hold no array of records, or hold a value of another type are set apart."""
+    wrapped = F.concat(F.lit('{"r":'), F.get_json_object(F.col(col), "$[1]"), F.lit("}"))
+    parsed = F.from_json(wrapped, _with_raw(T.StructType([T.StructField("r", T.ArrayType(GDP_RECORD))])), {"columnNameOfCorruptRecord": _RAW})
+    broken = F.try_parse_json(col).isNull()
+    none = F.get_json_object(F.col(col), "$[1]").isNull() | (F.coalesce(F.size("_parsed.r"), F.lit(-1)) < 0)
+    unreadable = broken | none | F.col(f"_parsed.{_RAW}").isNotNull()
+    typed = F.col(f"_parsed.{_RAW}").isNull()
+    reason = F.when(broken, NOT_JSON).when(none & typed, NO_RECORDS).otherwise(OTHER_TYPE)
+    return _checked(docs, col, parsed, unreadable, reason, lambda df: _gdp_rows(df.select(F.explode("_parsed.r").alias("r"))))
+
+
+def read_lines(spark: SparkSession, path: str, header: T.StructType | None = None, whole: bool = False, col: str = "value") -> DataFrame:
+    """Landed text as (file, ``col``): lines, or whole documents; lines that repeat the names of ``header`` go."""
+    lines = spark.read.text(path, wholetext=whole).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias(col))
+    return lines if header is None else lines.filter(F.rtrim(F.col(col)) != ",".join(header.names))
+
+
 # --------------------------------------------------------------------- GDP JSON
 
 
@@ -119,9 +200,12 @@ def gdp_records(docs: DataFrame, col: str = "value") -> DataFrame:
     exploded; the five unused fields are dropped (P15) and the rest typed (P16).
     """
     recs = F.from_json(F.get_json_object(F.col(col), "$[1]"), T.ArrayType(GDP_RECORD))
+    return _gdp_rows(docs.select(F.explode(recs).alias("r")))
+
+
+def _gdp_rows(records: DataFrame) -> DataFrame:
     return (
-        docs.select(F.explode(recs).alias("r"))
-        .select("r.*")
+        records.select("r.*")
         .drop("indicator", "country", "unit", "obs_status", "decimal")
         .select(
             F.col("countryiso3code").cast("string"),
