@@ -4,16 +4,18 @@
    their counts and the text as word numbers, 0 between pieces.
 2. Word counts are summed over shards; words below ``LEAST`` occurrences end a phrase (no phrase that
    holds one can reach ``LEAST``).
-3. Each shard's index (``Transform``: the words before every place, in the order of the words after it) extends
-   its words to the left by one; counts of word pairs are summed over shards, and text between the words of a
-   rare pair is cut.
-4. What is left is indexed in both directions (``TwoWay``).  Intervals grow by turns, to the left in one transform and to the right
-   in the other, each step keeping both intervals, up to ``LONGEST`` words; counts are summed over shards.
+3. For each length k from 2 on, a shard cuts its text where no frequent phrase of k - 1 words goes on, and indexes
+   what is left (``Transform``: the words before every place, in the order of the words after it; one of the text
+   and one of its reverse).  ``TwoWay`` holds an interval in both for each phrase and grows them by turns, a word to the left in
+   the one and a word to the right in the other; phrases that are not frequent stay behind at each step.
+   Counts of the phrases of k words are summed over shards.
 
-Phrases need an order by ``LONGEST - 1`` words only, so suffixes are sorted to that depth.  Every sum is exact: keys are the
-words themselves (numbers of frequent words for pairs), and no shard drops a phrase by its own count.
+Suffixes are sorted to k words only, which is all that phrases of k words ask for.  Every sum is exact: a phrase of k words goes by
+the numbers of the frequent phrases of k - 1 words that it begins and ends with, and no shard drops one by its own count.
 
-``scored`` cuts the frequent phrases, ``top_phrases`` ranks them; ``extensions`` lists the words that follow or precede a phrase.
+Frequent phrases of one length go to the tasks as arrays while they are no more than ``KNOWN`` (24 MB); beyond it each shard gets the rows
+of its own phrases by joins.  ``scored`` cuts the frequent phrases, ``top_phrases`` ranks them; ``extensions`` lists the words that
+follow or precede a phrase.
 
 Defined results: null and empty texts have no words; a null lang is ``und``; rows alike count each; ids and other
 columns are ignored; an empty table gives an empty result.
@@ -22,6 +24,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,8 @@ LONGEST = 5
 TOP = 2000
 #: Bytes of the texts that a task turns into shards at a time, unless one text has more.
 SHARD = 12 << 20
+#: Frequent phrases of one length up to which all tasks get them as arrays of three 64-bit numbers (words: as texts).
+KNOWN = 1_000_000
 
 #: Fixed by the contract: these end a piece, blanks and tabs part words, A-Z are lower-cased.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -115,8 +120,10 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     while known < depth:  # twice the words, or one more
         step = known if 2 * known <= depth else 1
         ahead = np.roll(rank if step == known else words, -known)
-        _, rank = np.unique(rank * (int(ahead.max()) + 1) + ahead, return_inverse=True)
+        rank = rank * (int(ahead.max(initial=0)) + 1) + ahead
         known += step
+        if known < depth:
+            _, rank = np.unique(rank, return_inverse=True)
     return np.argsort(rank, kind="stable")
 
 
@@ -127,7 +134,8 @@ class Transform:
     """
 
     def __init__(self, text: np.ndarray, depth: int):
-        self.before = np.roll(text, 1)[suffix_order(text, depth)]
+        self.place = suffix_order(text, depth)
+        self.before = np.roll(text, 1)[self.place]
         by = np.argsort(self.before, kind="stable")
         self.to = np.empty(len(text), np.int64)
         self.to[by] = np.arange(len(text))
@@ -150,34 +158,38 @@ class TwoWay:
     """Phrases of a text (0: no phrase goes on) with their intervals in the text and in its reverse."""
 
     def __init__(self, text: np.ndarray, longest: int):
-        self.ahead = Transform(text, longest - 1)
-        self.back = Transform(text[::-1], longest - 1)
+        self.text, self.longest, self.size = text, longest, 1
+        self.ahead = Transform(text, longest)
         n = np.diff(self.ahead.first)
         words = np.flatnonzero(n[1:]) + 1
-        self.words, self.n = [words], n[words]
+        self.n = n[words]
         self.lo = self.back_lo = self.ahead.first[words]
 
+    @cached_property
+    def back(self) -> Transform:
+        return Transform(self.text[::-1], self.longest)
+
     def left(self) -> None:
         """One word more before each phrase."""
         of, word, lo, n, smaller = self.ahead.extend(self.lo, self.n)
-        back = self.back_lo[of] + smaller
-        self.words = [word] + [w[of] for w in self.words]
-        self.lo, self.back_lo, self.n = lo, back, n
-        self._without_ends(word)
+        self._take(word > 0, lo, self.back_lo[of] + smaller, n)
 
     def right(self) -> None:
         """One word more after each phrase."""
         of, word, lo, n, smaller = self.back.extend(self.back_lo, self.n)
-        ahead = self.lo[of] + smaller
-        self.words = [w[of] for w in self.words] + [word]
-        self.lo, self.back_lo, self.n = ahead, lo, n
-        self._without_ends(word)
-
-    def _without_ends(self, word: np.ndarray) -> None:
-        go = word > 0
-        self.words = [w[go] for w in self.words]
+        self._take(word > 0, self.lo[of] + smaller, lo, n)
+
+    def _take(self, go: np.ndarray, lo: np.ndarray, back_lo: np.ndarray, n: np.ndarray) -> None:
+        self.lo, self.back_lo, self.n = lo[go], back_lo[go], n[go]
+        self.size += 1
+
+    def keep(self, go: np.ndarray) -> None:
         self.lo, self.back_lo, self.n = self.lo[go], self.back_lo[go], self.n[go]
 
+    def places(self) -> np.ndarray:
+        """Where each phrase occurs once."""
+        return self.ahead.place[self.lo]
+
 
 # --- sums over shards ------------------------------------------------------------------------
 
@@ -186,117 +198,185 @@ def _numbers(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.int32)
 
 
-def _frequent_only(ids: np.ndarray, n_words: int, at: np.ndarray) -> np.ndarray:
-    """The text with words other than those numbered ``at`` (from 0) as 0."""
-    keep = np.zeros(n_words + 1, bool)
-    keep[at + 1] = True
-    return np.where(keep[ids], ids, 0)
+class Pairs:
+    """Numbers of frequent phrases by what they begin and end with."""
 
+    def __init__(self, x: np.ndarray, y: np.ndarray, number: np.ndarray):
+        by = np.lexsort((y, x))
+        self.number = number[by]
+        self.x, self.y = np.unique(x), np.unique(y)
+        self.key = np.searchsorted(self.x, x[by]) * len(self.y) + np.searchsorted(self.y, y[by])
 
-def _joined(parts: DataFrame, *lists: DataFrame) -> DataFrame:
-    for x in lists:
-        parts = parts.join(x, "shard")
-    return parts
+    def find(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The number of each (x, y); 0 where there is none or a part is 0."""
+        out = np.zeros(len(x), np.int64)
+        live = np.flatnonzero((x > 0) & (y > 0))
+        if len(self.key) and len(live):
+            i, j = (np.minimum(np.searchsorted(u, v[live]), len(u) - 1) for u, v in ((self.x, x), (self.y, y)))
+            key = i * len(self.y) + j
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            hit = (self.x[i] == x[live]) & (self.y[j] == y[live]) & (self.key[at] == key)
+            out[live] = np.where(hit, self.number[at], 0)
+        return out
 
 
-def _columns(b: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    yield from zip(*(b.column(n) for n in names))
+def _ahead(x: np.ndarray, by: int = 1) -> np.ndarray:
+    return np.append(x[by:], np.zeros(min(by, len(x)), x.dtype))
 
 
-def pair_counts(parts: DataFrame, known: DataFrame) -> DataFrame:
-    """shard, a, b, n: pairs of frequent words (by number ``gid``) and their counts in each shard."""
+def phrases_at(text: np.ndarray, tables: list[Pairs]) -> list[np.ndarray]:
+    """For sizes 1, 2, ...: the number of the frequent phrase that begins at each place, or 0."""
+    out = [text]
+    for t in tables:
+        out.append(t.find(out[-1], _ahead(out[-1])))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, n_words, ids, at, gid in _columns(batch, "shard", "n_words", "ids", "at", "gid"):
-                at, gid = at.values.to_numpy(), gid.values.to_numpy()
-                text = _frequent_only(_numbers(ids.as_py()), n_words.as_py(), at)
-                names = np.zeros(n_words.as_py() + 1, np.int64)
-                names[at + 1] = gid
-                index = Transform(text, 1)
-                words = at[np.bincount(text, minlength=len(names))[at + 1] > 0] + 1
-                lo = index.first[words]
-                of, a, _, n, _ = index.extend(lo, index.first[words + 1] - lo)
-                go = a > 0
-                a, b, n = names[a[go]], names[words[of[go]]], n[go]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard.as_py(), np.int64)), pa.array(a), pa.array(b), pa.array(n)], ["shard", "a", "b", "n"])
-
-    both = _joined(parts.select("shard", F.size("words").alias("n_words"), "ids"), known)
-    return both.mapInArrow(run, "shard long, a long, b long, n long")
-
-
-def long_phrases(parts: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
-    """lang, phrase, size, n: phrases of 3 to ``LONGEST`` words whose pairs are all frequent, per shard."""
-    names = ["lang", "phrase", "size", "n"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, words, ids, at, gid, a, b in _columns(batch, "lang", "words", "ids", "at", "gid", "a", "b"):
-                at, gid, words = at.values.to_numpy(), gid.values.to_numpy(), words.values
-                by = np.argsort(gid)
-                local = [at[by][np.searchsorted(gid[by], x.values.to_numpy())] + 1 for x in (a, b)]
-                text = cut_rare(_frequent_only(_numbers(ids.as_py()), len(words), at), *local)
-                index = TwoWay(text, LONGEST)
-                for k in range(2, LONGEST + 1):
-                    (index.right if k % 2 else index.left)()
-                    if not len(index.n):
-                        break
-                    if k > 2:
-                        phrase = pc.binary_join_element_wise(*(words.take(pa.array(w - 1)) for w in index.words), " ")
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang.as_py()] * len(index.n)), phrase, pa.array(np.full(len(index.n), k, np.int32)), pa.array(index.n)], names
-                        )
-
-    both = _joined(parts.select("shard", "lang", "words", "ids"), known, pairs)
-    return both.mapInArrow(run, "lang string, phrase string, size int, n long")
-
-
-def cut_rare(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The words of ``text`` next to a pair of (a, b), 0 between the words of any other pair."""
-    size = int(text.max(initial=0)) + 1
-    pairs = np.sort(a.astype(np.int64) * size + b)
-    ahead = np.append(text[1:], 0)
-    key = text.astype(np.int64) * size + ahead
-    at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
-    goes_on = (text > 0) & (ahead > 0) & (pairs[at] == key if len(pairs) else False)
-    out = np.zeros((len(text), 2), np.int32)
-    out[:, 0] = text
-    keep = np.empty((len(text), 2), bool)
-    keep[:, 0] = goes_on | np.append([False], goes_on[:-1])
-    keep[:, 1] = np.append([False], goes_on[:-1]) & ~goes_on
-    return np.append(np.int32(0), out[keep])
-
-
-def _per_shard(rows: DataFrame, *names: str) -> DataFrame:
-    """One row a shard: its rows' columns as lists in one order (no more than its own words, or pairs)."""
-    lists = rows.groupBy("shard").agg(F.collect_list(F.struct(*names)).alias("x"))
-    return lists.select("shard", *(F.col(f"x.{n}").alias(n) for n in names))
+def cut_rare(text: np.ndarray, longest: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``text`` in a frequent phrase of ``size`` words, 0 where none goes on; and their places (-1: a 0).
+
+    ``longest`` holds the phrases of ``size`` words at each place.
+    """
+    starts = longest > 0
+    inside, goes_on = np.zeros(len(text), bool), np.zeros(len(text), bool)
+    for i in range(size):
+        began = np.append(np.zeros(min(i, len(text)), bool), starts[: max(len(text) - i, 0)])
+        inside |= began
+        if i < size - 1:
+            goes_on |= began
+    if size == 1:
+        goes_on = inside & _ahead(inside)
+    out = np.full((len(text), 2), -1, np.int64)
+    out[:, 0] = np.arange(len(text))
+    keep = np.column_stack([inside, inside & ~goes_on])
+    place = np.append(np.int64(-1), out[keep])
+    return np.where(place < 0, 0, text[place]), place
+
+
+def counted(text: np.ndarray, tables: list[Pairs]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases one word longer than the tables' longest: what they begin with, what they end with, their count in the text."""
+    at = phrases_at(text, tables)
+    size = len(at)
+    short, place = cut_rare(text, at[-1], size)
+    _, short = np.unique(short, return_inverse=True)  # small numbers; it begins with a 0, which stays the smallest
+    index = TwoWay(short, size + 1)
+    while index.size <= size and len(index.n):
+        (index.right if index.size % 2 == 0 else index.left)()
+        here = place[index.places()]
+        if index.size <= size:
+            index.keep(at[index.size - 1][here] > 0)
+    here = place[index.places()]
+    a, b = at[-1][here], _ahead(at[-1])[here]
+    go = (a > 0) & (b > 0)
+    return a[go], b[go], index.n[go]
+
+
+class Frequent:
+    """Frequent phrases of growing size: their tables, and how a shard comes to know them."""
+
+    def __init__(self, parts: DataFrame, words: DataFrame):
+        self.spark, self.parts = parts.sparkSession, parts
+        self.tables = [words]  # lang, word, a, number; then x, y, a, number
+        self.sent: list = [None]
+        self.local: list[DataFrame | None] = [None]
+        if words.count() <= KNOWN:
+            langs: dict[str, tuple[list, list]] = {}
+            for r in words.select("lang", "word", "number").collect():
+                names, numbers = langs.setdefault(r.lang, ([], []))
+                names.append(r.word)
+                numbers.append(r.number)
+            self.sent[0] = self.spark.sparkContext.broadcast({k: (pa.array(w, pa.string()), np.array(n, np.int64)) for k, (w, n) in langs.items()})
+        else:
+            placed = parts.select("shard", "lang", F.posexplode("words").alias("at", "word"))
+            self.local[0] = materialize(_per_shard(placed.join(words.select("lang", "word", "number"), ["lang", "word"]), 1, "at", "number"), "known")
+
+    def add(self, phrases: DataFrame) -> None:
+        """Phrases one word longer than the last ones: x, y (numbers of what they begin and end with), a, number."""
+        k = len(self.tables) + 1
+        if phrases.count() <= KNOWN:
+            t = phrases.select("x", "y", "number").toArrow()
+            self.sent.append(self.spark.sparkContext.broadcast(Pairs(*(t.column(c).to_numpy() for c in ("x", "y", "number")))))
+            self.local.append(None)
+        else:
+            own = self.counts().join(phrases.select("x", "y", "number"), ["x", "y"])
+            self.sent.append(None)
+            self.local.append(materialize(_per_shard(own, k, "x", "y", "number"), "known"))
+        self.tables.append(phrases)
+
+    def counts(self) -> DataFrame:
+        """shard, x, y, n: phrases one word longer than the last ones, by what they begin and end with, in each shard."""
+        ship(self.spark)
+        sent, size = list(self.sent), len(self.tables)
+        rows = self.parts.select("shard", "lang", "words", "ids")
+        for t in self.local:
+            rows = rows if t is None else rows.join(t, "shard", "left")
+
+        def list_of(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
+            x = batch.column(name)[i].values
+            return np.empty(0, np.int64) if x is None else x.to_numpy(zero_copy_only=False).astype(np.int64)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    words = batch.column("words")[i].values
+                    number = np.zeros(len(words) + 1, np.int64)
+                    if sent[0] is None:
+                        number[list_of(batch, "at1", i) + 1] = list_of(batch, "number1", i)
+                    else:
+                        names, numbers = sent[0].value.get(batch.column("lang")[i].as_py(), (pa.array([], pa.string()), np.empty(0, np.int64)))
+                        at = pc.index_in(words, value_set=names).fill_null(-1).to_numpy()
+                        number[1:] = np.where(at >= 0, np.append(numbers, 0)[at], 0)
+                    tables = []
+                    for k in range(2, size + 1):
+                        if sent[k - 1] is not None:
+                            tables.append(sent[k - 1].value)
+                        else:
+                            tables.append(Pairs(*(list_of(batch, f"{c}{k}", i) for c in ("x", "y", "number"))))
+                    x, y, n = counted(number[_numbers(batch.column("ids")[i].as_py())], tables)
+                    shard = pa.array(np.full(len(n), batch.column("shard")[i].as_py(), np.int64))
+                    yield pa.RecordBatch.from_arrays([shard, pa.array(x), pa.array(y), pa.array(n)], ["shard", "x", "y", "n"])
+
+        return rows.mapInArrow(run, "shard long, x long, y long, n long")
+
+
+def _per_shard(rows: DataFrame, k: int, *names: str) -> DataFrame:
+    """One row a shard: its rows' columns as lists in one order (no more than its own words, or phrases)."""
+    lists = rows.groupBy("shard").agg(F.collect_list(F.struct(*names)).alias("_x"))
+    return lists.select("shard", *(F.col(f"_x.{n}").alias(f"{n}{k}") for n in names))
+
+
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written with a column ``number`` from 1 on, without gaps: rows before it in its part, and before its part."""
+    df = materialize(df.withColumn("_id", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_id", 33)
+    sizes = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    first = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_first"))  # a row a part
+    placed = df.withColumn("_part", part).join(F.broadcast(first), "_part")
+    return placed.withColumn("number", F.col("_first") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1).drop("_id", "_part", "_first")
 
 
 def phrase_counts(docs: DataFrame) -> DataFrame:
     """lang, phrase, size, a, n: all phrases of 1 to ``LONGEST`` words with at least ``LEAST`` occurrences, and the lang's words."""
     parts = materialize(shards(docs), "shards")
     totals = parts.groupBy("lang").agg(F.sum("total").alias("n"))
-    in_shards = parts.select("shard", "lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
+    in_shards = parts.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
     words = in_shards.groupBy("lang", "word").agg(F.sum("c").alias("a")).filter(F.col("a") >= LEAST)
-    words = materialize(words.withColumn("gid", F.monotonically_increasing_id()), "words")
-    placed = parts.select("shard", "lang", F.posexplode("words").alias("at", "word"))
-    known = materialize(_per_shard(placed.join(words.select("lang", "word", "gid"), ["lang", "word"]), "at", "gid"), "known")
-
-    local = materialize(pair_counts(parts, known), "pairs")
-    pairs = local.groupBy("a", "b").agg(F.sum("n").alias("f")).filter(F.col("f") >= LEAST)
-    pairs = materialize(pairs, "frequent-pairs")
-    alive = _per_shard(local.select("shard", "a", "b").join(pairs.select("a", "b"), ["a", "b"]), "a", "b")
-
-    longer = long_phrases(parts, known, alive).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).filter(F.col("a") >= LEAST)
-    name = words.select("gid", "lang", "word")
-    spelled = (
-        pairs.join(name.select(F.col("gid").alias("a"), "lang", F.col("word").alias("u")), "a")
-        .join(name.select(F.col("gid").alias("b"), F.col("word").alias("v")), "b")
-        .select("lang", F.concat_ws(" ", "u", "v").alias("phrase"), F.lit(2).alias("size"), F.col("f").alias("a"))
-    )
-    one = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "a")
-    return materialize(one.unionByName(spelled).unionByName(longer).join(totals, "lang"), "phrases")
+    words = _numbered(words, "words")
+
+    frequent = Frequent(parts, words)
+    named = words.select("number", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", F.lit(1).alias("size"))
+    spelled = [named]
+    for k in range(2, LONGEST + 1):
+        sums = frequent.counts().groupBy("x", "y").agg(F.sum("n").alias("a")).filter(F.col("a") >= LEAST)
+        longer = _numbered(sums, f"phrases-{k}")
+        frequent.add(longer)
+        begins = named.select(F.col("number").alias("x"), "lang", F.col("phrase").alias("begin"))
+        ends = named.select(F.col("number").alias("y"), "last")
+        longer = longer.join(begins, "x").join(ends, "y")
+        named = materialize(longer.select("number", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "a", F.lit(k).alias("size")), f"named-{k}")
+        spelled.append(named)
+    every = reduce(lambda a, b: a.unionByName(b), spelled)
+    return materialize(every.select("lang", "phrase", "size", "a").join(totals, "lang"), "phrases")
 
 
 # --- phrases ---------------------------------------------------------------------------------
