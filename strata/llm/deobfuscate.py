@@ -129,15 +129,17 @@ class Restorer:
 
     def __init__(self, model: CharacterModel):
         self.model = model
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.known: dict[str, str] = {}
 
     def word(self, w: str) -> tuple[str, ...]:
         """Plain words that a written word holds, and what a disguise restores to."""
+        got = (w,) if w.isalpha() else tuple(PLAIN.findall(w))
+        return (*got, self.decoded(w)) if disguised(w) else got
+
+    def decoded(self, w: str) -> str:
         got = self.known.get(w)
         if got is None:
-            got = (w,) if w.isalpha() else tuple(PLAIN.findall(w))
-            if disguised(w):
-                got += (self.model.decode(w.strip(EDGE)),)
+            got = self.model.decode(w.strip(EDGE))
             if len(self.known) >= CACHE_ENTRIES:
                 self.known.clear()
             if len(w) <= 64:
@@ -150,12 +152,15 @@ class Restorer:
         written = set(WORD.findall(low))
         for w in written:
             out.update(self.word(w))
-        # letters set apart are words of one letter, or stand between fillers
+        out.update(self.set_apart(low, written))
+        return out
+
+    def set_apart(self, low: str, written: set[str]) -> Iterator[str]:
+        """Words whose letters stand alone, or between fillers, in a text (``low``) of the words ``written``."""
         alone = sum([len(w) == 1 for w in written]) > 1 or any("-" in w or "_" in w or "." in w[1:-1] for w in written if not w.isalpha())
         for m in SPACED.finditer(low) if alone else ():
             joined = re.sub(r"[ .\-_]", "", m.group())
-            out.add(joined if joined.isalpha() else self.model.decode(joined))
-        return out
+            yield joined if joined.isalpha() else self.model.decode(joined)
 
 
 def features(words: set[str]) -> set[str]:
@@ -170,22 +175,32 @@ def features(words: set[str]) -> set[str]:
 class Scorer:
     """Sum of the weights of the features a text shows, as a probability."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
-        self.known: dict[str, float] = {}
+    def __init__(self, weights: dict[str, float], bias: float, restore: Restorer):
+        self.weights, self.bias, self.restore = weights, bias, restore
+        #: of a written word, the plain words with a weight: most have none
+        self.known: dict[str, tuple[tuple[str, float], ...]] = {}
 
     def of_word(self, w: str) -> float:
-        got = self.known.get(w)
-        if got is None:
-            get = self.weights.get
-            got = max([get(w, 0.0), *[get(w[:n] + "~", 0.0) for n in PREFIXES if len(w) > n]])
-            if len(self.known) >= CACHE_ENTRIES:
-                self.known.clear()
+        get = self.weights.get
+        return max([get(w, 0.0), *[get(w[:n] + "~", 0.0) for n in PREFIXES if len(w) > n]])
+
+    def weighted(self, w: str) -> tuple[tuple[str, float], ...]:
+        got = tuple((p, x) for p in self.restore.word(w) if (x := self.of_word(p)))
+        if len(self.known) >= 2 * CACHE_ENTRIES:
+            self.known.clear()
+        if len(w) <= 64:
             self.known[w] = got
         return got
 
-    def score(self, words: set[str]) -> float:
-        total = self.bias + sum(map(self.of_word, words))
+    def score(self, text: str) -> float:
+        low = text.lower()
+        written = set(WORD.findall(low))
+        found = list(map(self.known.get, written))
+        if None in found:
+            found = [self.weighted(w) if x is None else x for w, x in zip(written, found)]
+        shown = {p: x for plain in found if plain for p, x in plain}  # each plain word once
+        shown.update((p, self.of_word(p)) for p in self.restore.set_apart(low, written))
+        total = self.bias + sum(shown.values())
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
 
@@ -247,9 +262,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights, bias = learn(docs, labels, grams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore, scorer = Restorer(CharacterModel(grams)), Scorer(weights, bias)
+        scorer = Scorer(weights, bias, Restorer(CharacterModel(grams)))
         for b in batches:
-            s = [scorer.score(restore.words(t.as_py() or "")) for t in b.column(1)]
+            s = [scorer.score(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
