@@ -47,6 +47,8 @@ NO_EVIDENCE, MOST_WEIGHT = -4.0, 6.0
 #: Features and words remembered per Python worker.
 CACHE_ENTRIES = 200_000
 LETTERS = 64
+#: Trigrams that a task holds before it counts them.
+COUNTED = 1_000_000
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\W\d_]+")
@@ -66,6 +68,8 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LETTERS**3, np.int64)
+        held: list[np.ndarray] = []
+        size = 0
         for b in batches:
             for t in b.column(0):
                 a = np.frombuffer((" " + (t.as_py() or "").lower() + " ").encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -73,7 +77,13 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
                 c = np.where(letter, codes(a), 0)
                 c = c[np.concatenate(([True], (c[1:] != 0) | (c[:-1] != 0)))]  # one edge between words
                 c = np.concatenate(([0], c))
-                total += np.bincount(c[:-2] * LETTERS**2 + c[1:-1] * LETTERS + c[2:], minlength=LETTERS**3)
+                held.append(c[:-2] * LETTERS**2 + c[1:-1] * LETTERS + c[2:])
+                size += len(held[-1])
+                if size >= COUNTED:  # one pass over all counts for many texts
+                    total += np.bincount(np.concatenate(held), minlength=LETTERS**3)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=LETTERS**3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
