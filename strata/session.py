@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM never compiles a method of more than 8,000 bytes; one operator that grows beyond it (a wide
+    # projection over both trip flavours) is then run operator by operator instead of being interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

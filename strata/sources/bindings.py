@@ -93,11 +93,11 @@ def _yellow_cols() -> list:
 def _green_cols() -> list:
     pu_txt = F.when(
         F.pmod(F.col("l_orderkey"), F.lit(997)) == 0, F.lit("not a timestamp")
-    ).otherwise(F.date_format("_pu_ts", "yyyy-MM-dd HH:mm:ss"))
+    ).otherwise(F.col("_pu_ts").cast("string"))
     return [
         *_common_trip_cols(),
         pu_txt.alias("lpep_pickup_datetime"),
-        F.date_format("_do_ts", "yyyy-MM-dd HH:mm:ss").alias("lpep_dropoff_datetime"),
+        F.col("_do_ts").cast("string").alias("lpep_dropoff_datetime"),
         F.when(F.col("l_linenumber") != 7, F.col("l_linenumber").cast("int")).alias("passenger_count"),
         (F.pmod(F.col("l_orderkey"), F.lit(2)) + 1).cast("long").alias("trip_type"),
     ]
