@@ -34,6 +34,8 @@ WIDTH = 100
 GRAM = 32
 #: Not a byte of UTF-8, so no match passes from one content to the next.
 END = b"\xff"
+#: Bytes by which suffixes are ordered first; each turn doubles them.
+FIRST = 5
 
 
 def byte_tokens(data: bytes) -> np.ndarray:
@@ -44,6 +46,20 @@ def byte_ranges(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[byte
     return [text[s:e] for s, e in zip(starts.tolist(), stops.tolist(), strict=True)]
 
 
+def ranked(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The dense rank of each of ``keys`` (below 2**bits).  Where key and place fit one word, words are sorted alone."""
+    n = len(keys)
+    low = n.bit_length()
+    if bits + low > 64:
+        return np.unique(keys, return_inverse=True)[1].astype(np.int64)
+    words = np.sort(keys << np.uint64(low) | np.arange(n, dtype=np.uint64))
+    place = (words & np.uint64((1 << low) - 1)).astype(np.int64)
+    words >>= np.uint64(low)
+    out = np.empty(n, np.int64)
+    out[place] = np.concatenate(([0], np.cumsum(words[1:] != words[:-1])))
+    return out
+
+
 class RunLengthIndex:
     """Suffix order of a text, kept whole for marking, and match lengths at the run heads of its transform.
 
@@ -52,18 +68,18 @@ class RunLengthIndex:
 
     def __init__(self, text: bytes):
         n = len(text)
-        a = np.frombuffer(text + END * 8, np.uint8)
+        a = np.frombuffer(text + END * FIRST, np.uint8)
         first = np.zeros(n, np.uint64)
-        for i in range(8):
+        for i in range(FIRST):
             first = first << np.uint64(8) | a[i : i + n]
-        ranks = [np.unique(first, return_inverse=True)[1].astype(np.int64)]
-        depth = 8
+        ranks = [ranked(first, 8 * FIRST)]
+        depth = FIRST
         while ranks[-1].max() < n - 1:
             r = ranks[-1]
             ahead = np.full(n, n, np.int64)  # as if the end byte went on for ever
             if depth < n:
                 ahead[: n - depth] = r[depth:]
-            ranks.append(np.unique(r * (n + 1) + ahead, return_inverse=True)[1])
+            ranks.append(ranked((r * (n + 1) + ahead).astype(np.uint64), 2 * (n + 1).bit_length()))
             depth *= 2
         order = np.empty(n, np.int64)
         order[ranks[-1]] = np.arange(n)
@@ -81,9 +97,9 @@ class RunLengthIndex:
         out = np.zeros(len(x), np.int64)
         for level in range(len(ranks) - 1, -1, -1):
             i, j = np.minimum(x + out, n - 1), np.minimum(y + out, n - 1)
-            out += np.where((x + out < n) & (y + out < n) & (ranks[level][i] == ranks[level][j]), 8 << level, 0)
+            out += np.where((x + out < n) & (y + out < n) & (ranks[level][i] == ranks[level][j]), FIRST << level, 0)
         alive = np.ones(len(x), bool)
-        for _ in range(7):
+        for _ in range(FIRST - 1):
             i, j = x + out, y + out
             alive &= (i < n) & (j < n) & (a[np.minimum(i, n)] == a[np.minimum(j, n)])
             out += alive
