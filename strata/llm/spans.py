@@ -11,10 +11,12 @@ anchors, hence meet in the pieces of one anchor, and only there.
 2. Of pieces with equal content all but the first are duplicates as a whole.
 3. Anchors with several different contents (next to an edit) are compared token by token: their
    distinct contents, once each, are fetched from the texts and go to an index in blocks
-   (``index`` below: a suffix order, or relative Lempel-Ziv parsing).  An anchor with more
-   than ``GROUP`` contents is split by window: each window is then a row of its own, and
-   equal ones meet by their hash.
-4. Spans come back to their documents by id and text.
+   (``index`` below: a suffix order, or relative Lempel-Ziv parsing).
+4. The contents of an anchor with more than ``GROUP`` of them are split by a second anchor, the
+   smallest of their longer grams: each is cut into a few pieces (some eight at most, whatever
+   its length), which go through the same steps.  Grams grow by half of what is left to a window
+   (``finer``), until an anchor is a whole window and equal contents are all there is.
+5. Spans come back to their documents by id and text.
 
 A row is told apart by (id, hash of its text); null ids count as the largest.  Rows alike in both
 are one document at one place: none is earlier than the other.  Earlier is the order (id, hash, start), the
@@ -108,41 +110,37 @@ def piece_rows(rows: DataFrame, tokens: Tokens, width: int, gram: int) -> DataFr
     return rows.mapInArrow(run, "anchor long, content long, k long, t long, start long, n int")
 
 
-def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]], index: Index, width: int, gram: int, name: str) -> DataFrame:
-    """k, t, start, stop: token spans of each document that are covered by windows which also start earlier.
+def finer(width: int, gram: int) -> list[int]:
+    """Lengths of the grams by which hot anchors are split, one after the other; the last is a whole window."""
+    out = []
+    while gram < width:
+        gram = width if width - gram <= 4 else (gram + width + 1) // 2
+        out.append(gram)
+    return out
 
-    ``cut(text, starts, stops)`` gives the bytes of token ranges, ``index`` compares them.
-    """
-    ship(docs.sparkSession)
-    rows = packed(docs)
-    all_pieces = piece_rows(rows, tokens, width, gram)
-    often = all_pieces.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    met = materialize(all_pieces.join(often, "anchor"), f"{name}-pieces")
-    place = F.struct("k", "t", "start", "n")
-    contents = materialize(met.groupBy("anchor", "content").agg(F.min(place).alias("p"), F.count("*").alias("c")), f"{name}-contents")
-    again = contents.filter("c > 1").select("anchor", "content", F.col("p.k").alias("k0"), F.col("p.t").alias("t0"), F.col("p.start").alias("s0"))
-    # pieces whose content has come before: duplicates as a whole
-    later = (F.col("k") > F.col("k0")) | ((F.col("k") == F.col("k0")) & ((F.col("t") > F.col("t0")) | ((F.col("t") == F.col("t0")) & (F.col("start") > F.col("s0")))))
-    whole = met.join(again, ["anchor", "content"]).filter(later).select("k", "t", "start", (F.col("start") + F.col("n") + width - 1).alias("stop"))
-    # anchors with several contents: these are compared by token
-    several = contents.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1")
-    ask = contents.join(several, "anchor").select("anchor", (F.col("m") > GROUP).alias("hot"), "p.*")
-    ask = ask.groupBy("k", "t").agg(F.collect_list(F.struct("anchor", "hot", "start", "n")).alias("want"))
+
+def fetched_contents(rows: DataFrame, contents: DataFrame, cut: Callable, width: int) -> DataFrame:
+    """``contents`` (anchor, content, place p) of the texts with the tokens of each as ``piece``."""
+    ask = contents.groupBy("k", "t").agg(F.collect_list(F.struct("anchor", "hot", "start", "n")).alias("want"))
     texts = compressed(rows).join(ask, ["k", "t"]).dropDuplicates(["k", "t"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for k, t, body, want in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                text = expand(body)
                 starts = np.array([x["start"] for x in want], np.int64)
                 stops = starts + np.array([x["n"] for x in want]) + width - 1
-                for x, piece in zip(want, cut(text, starts, stops), strict=True):
+                for x, piece in zip(want, cut(expand(body), starts, stops), strict=True):
                     out.append((x["anchor"], x["hot"], k, t, x["start"], x["n"], piece))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["anchor", "hot", "k", "t", "start", "n", "piece"])
 
-    fetched = materialize(texts.mapInArrow(fetch, "anchor long, hot boolean, k long, t long, start long, n int, piece binary"), f"{name}-fetched")
+    return texts.mapInArrow(fetch, "anchor long, hot boolean, k long, t long, start long, n int, piece binary")
+
+
+def compared(groups: DataFrame, index: Index, width: int) -> DataFrame:
+    """k, t, start, stop of what ``index`` finds among the contents (anchor, k, t, start, piece) of each anchor."""
+    block = BLOCK
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list[tuple]) -> pa.RecordBatch | None:
@@ -155,7 +153,7 @@ def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.nda
         size, anchor = 0, None
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[0] != anchor and size > BLOCK:  # a group stays together
+                if row[0] != anchor and size > block:  # a group stays together
                     if (r := flush(held)) is not None:
                         yield r
                     held, size = [], 0
@@ -165,22 +163,68 @@ def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.nda
         if held and (r := flush(held)) is not None:
             yield r
 
-    grouped = fetched.filter("NOT hot").select("anchor", "k", "t", "start", "piece").repartition("anchor").sortWithinPartitions("anchor", "k", "start")
-    near = grouped.mapInArrow(compare, "k long, t long, start long, stop long")
+    grouped = groups.select("anchor", "k", "t", "start", "piece").repartition("anchor").sortWithinPartitions("anchor", "k", "start")
+    return grouped.mapInArrow(compare, "k long, t long, start long, stop long")
+
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def split_contents(hot: DataFrame, tokens: Tokens, cut: Callable, width: int, gram: int) -> DataFrame:
+    """The pieces, by anchors of ``gram`` tokens, of the contents of hot anchors; equal windows stay in pieces of one anchor."""
+    chunk = CHUNK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for k, t, s, n, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                tok = Rolling(tokens(piece))
-                out.append((np.full(n, k), np.full(n, t), np.arange(s, s + n), tok.all(width)[:n].astype(np.int64), mix(tok.all(width // 2)[:n] + np.uint64(1)).astype(np.int64)))
+            out: list[tuple] = []
+            for anchor, k, t, start, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for a, c, s, n in pieces(tokens(piece), width, gram, chunk):
+                    both = mix(mix(np.full(len(a), anchor).astype(np.uint64)) ^ a.astype(np.uint64)).astype(np.int64)
+                    out += zip(both.tolist(), c.tolist(), [k] * len(a), [t] * len(a), (s + start).tolist(), n.tolist(), cut(piece, s, s + n + width - 1), strict=True)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["k", "t", "start", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), (*[pa.int64()] * 5, pa.int32(), pa.binary()), strict=True)], ["anchor", "content", "k", "t", "start", "n", "piece"])
+
+    return hot.select("anchor", "k", "t", "start", "piece").mapInArrow(run, "anchor long, content long, k long, t long, start long, n int, piece binary")
 
-    windows = fetched.filter("hot").select("k", "t", "start", "n", "piece").mapInArrow(single, "k long, t long, start long, h1 long, h2 long")
-    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("k", "t", "start")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("h1", "h2", F.col("p.k").alias("k0"), F.col("p.t").alias("t0"), F.col("p.start").alias("s0"))
-    hot = windows.join(first, ["h1", "h2"]).filter(later).select("k", "t", "start", (F.col("start") + width).alias("stop"))
-    return whole.unionByName(near).unionByName(hot)
+
+def met_pieces(all_pieces: DataFrame) -> DataFrame:
+    """The rows whose anchor occurs twice or more."""
+    often = all_pieces.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
+    return all_pieces.join(often, "anchor")
+
+
+def later_pieces(met: DataFrame, contents: DataFrame, width: int) -> DataFrame:
+    """Spans of the pieces whose content has come before: duplicates as a whole."""
+    again = contents.filter("c > 1").select("anchor", "content", F.col("p.k").alias("k0"), F.col("p.t").alias("t0"), F.col("p.start").alias("s0"))
+    later = (F.col("k") > F.col("k0")) | ((F.col("k") == F.col("k0")) & ((F.col("t") > F.col("t0")) | ((F.col("t") == F.col("t0")) & (F.col("start") > F.col("s0")))))
+    return met.join(again, ["anchor", "content"]).filter(later).select("k", "t", "start", (F.col("start") + F.col("n") + width - 1).alias("stop"))
+
+
+def differing(contents: DataFrame) -> DataFrame:
+    """Contents, at their first place, of the anchors that have several; ``hot`` where these are more than ``GROUP``."""
+    several = contents.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1")
+    return contents.join(several, "anchor").select("anchor", (F.col("m") > GROUP).alias("hot"), "p.*")
+
+
+def repeated_spans(docs: DataFrame, tokens: Tokens, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]], index: Index, width: int, gram: int, name: str) -> DataFrame:
+    """k, t, start, stop: token spans of each document that are covered by windows which also start earlier.
+
+    ``cut(text, starts, stops)`` gives the bytes of token ranges, ``index`` compares them.
+    """
+    ship(docs.sparkSession)
+    rows = packed(docs)
+    met = materialize(met_pieces(materialize(piece_rows(rows, tokens, width, gram), f"{name}-cut")), f"{name}-pieces")
+    contents = materialize(met.groupBy("anchor", "content").agg(F.min(F.struct("k", "t", "start", "n")).alias("p"), F.count("*").alias("c")), f"{name}-contents")
+    spans = later_pieces(met, contents, width)
+    fetched = materialize(fetched_contents(rows, differing(contents), cut, width), f"{name}-fetched")
+    spans = spans.unionByName(compared(fetched.filter("NOT hot"), index, width))
+    for finer_gram in finer(width, gram):
+        hot = fetched.filter("hot")
+        if hot.isEmpty():
+            break
+        met = materialize(met_pieces(materialize(split_contents(hot, tokens, cut, width, finer_gram), f"{name}-split-{finer_gram}")), f"{name}-pieces-{finer_gram}")
+        contents = materialize(met.groupBy("anchor", "content").agg(F.min(F.struct("k", "t", "start", "n", "piece")).alias("p"), F.count("*").alias("c")), f"{name}-contents-{finer_gram}")
+        spans = spans.unionByName(later_pieces(met, contents, width))
+        fetched = materialize(differing(contents), f"{name}-fetched-{finer_gram}")
+        spans = spans.unionByName(compared(fetched.filter("NOT hot"), index, width))
+    return spans
 
 
 def merged(spans: list[dict], n: int) -> tuple[np.ndarray, np.ndarray]:
