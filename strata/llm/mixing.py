@@ -168,11 +168,15 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every row as often as the mix takes it."""
-    chosen = mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("mix_id"), F.col("digest").alias("mix_digest")).agg(F.collect_list("copies").alias("mix_copies"))
-    keyed = docs.withColumn("mix_key", digest_of(F.col("doc_id"), F.col("text")))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "mix_key").orderBy(F.lit(0)))
-    keyed = keyed.withColumn("mix_nth", nth)
-    out = keyed.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & (F.col("mix_key") == F.col("mix_digest")))
+    def key(doc_id: Column, digest: Column) -> list[Column]:
+        i = doc_id.cast("long")
+        return [F.coalesce(i, F.lit(0)).alias("mix_id"), i.isNull().alias("mix_null"), digest.alias("mix_digest")]
+
+    names = ["mix_id", "mix_null", "mix_digest"]
+    chosen = mix(docs).filter("copies > 0").groupBy(*key(F.col("doc_id"), F.col("digest"))).agg(F.collect_list("copies").alias("mix_copies"))
+    # texts are dealt and sorted once, for the join and the numbers alike
+    out = docs.select(*docs.columns, *key(F.col("doc_id"), digest_of(F.col("doc_id"), F.col("text")))).join(chosen, names)
+    out = out.withColumn("mix_nth", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0))))
     out = out.withColumn("mix_n", F.get("mix_copies", F.col("mix_nth") - 1)).filter(F.col("mix_n").isNotNull())
     return out.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_n"))).alias("mix_copy")).select(*docs.columns)
 
