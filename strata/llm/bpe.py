@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from .storage import ship, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Pre-tokens remembered per Python worker: two generations of this many.
+#: Chunks of text remembered per Python worker from one portion to the next.
 CACHE_ENTRIES = 200_000
 #: Pre-tokens of more bytes than this are merged alone.
 LONG = 256
 #: Characters of text whose unseen pre-tokens are merged together.
-PORTION = 12_000_000
+PORTION = 1_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -254,16 +254,18 @@ class ByteBPE:
         self.known.update((c, ids[p[0]] if len(p) == 1 else b"".join([ids[t] for t in p])) for c, p in zip(new, parts, strict=True))
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text.  What is remembered stays below ``entries`` chunks between calls: those met before stay."""
+        """Ids of each text.  What is remembered stays below ``entries`` chunks between calls: those of the last call stay, first those met before it."""
         cut = [self.chunks(t) for t in texts]
         met = set().union(*cut)
         known = self.known
         again = [c for c in met if c in known]
-        self.learn([c for c in met if c not in known])
+        new = [c for c in met if c not in known]
+        self.learn(new)
         for chunks in cut:
             yield b"".join([known[c] for c in chunks])
         if len(known) > self.entries:
-            self.known = {c: known[c] for c in again[: self.entries] if len(c) <= LONG}
+            short = [c for c in again + new if len(c if c.__class__ is str else c[0]) <= LONG]
+            self.known = {c: known[c] for c in short[: self.entries]}
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_all([text]))
